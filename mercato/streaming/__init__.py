@@ -1,0 +1 @@
+"""Intentionally empty: the workload is batch-only, there is no stream to read or write."""
