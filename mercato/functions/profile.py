@@ -113,7 +113,7 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     )
     width = (F.col("high") - F.col("low")) / bins
     frame = bounds.where("low IS NOT NULL").select(
-        "low", "high", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).cast("long").alias("bin")
+        "low", "high", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long"))).alias("bin")
     )
     return frame.join(counts, "bin", "left").select(
         "bin",

@@ -57,6 +57,11 @@ class Market:
     def geolocation(self) -> DataFrame:
         return views.geolocation(self)
 
+    @cached_property
+    def orders_core(self) -> DataFrame:
+        """``orders_enriched`` without coordinates, for queries that never look at them."""
+        return views.orders_core(self)
+
     @cached_property
     def orders_enriched(self) -> DataFrame:
         return views.orders_enriched(self)

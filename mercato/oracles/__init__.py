@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def all_oracles() -> dict[str, str]:
-    from mercato.oracles import marts
+    from mercato.oracles import eda, marts, quality
 
     found: dict[str, str] = {}
-    for module in (marts,):
+    for module in (quality, marts, eda):
         found |= module.ORACLES
     return found

@@ -59,7 +59,8 @@ def geolocation(m: Market) -> DataFrame:
     )
 
 
-def _orders_with_customers(m: Market) -> DataFrame:
+def orders_core(m: Market) -> DataFrame:
+    """Orders with customer identity and durations, before any coordinates are looked up."""
     bought, approved = F.col("order_purchase_timestamp"), F.col("order_approved_at")
     handed, arrived = F.col("order_delivered_carrier_date"), F.col("order_delivered_customer_date")
     due = F.col("order_estimated_delivery_date")
@@ -114,7 +115,7 @@ def _located(df: DataFrame, geo: DataFrame, who: str) -> DataFrame:
 
 def orders_enriched(m: Market) -> DataFrame:
     """Orders with customer identity, geography and durations; ``is_delayed`` is NULL until delivery."""
-    return _located(_orders_with_customers(m), m.geolocation, "customer").select(*ORDER_COLUMNS)
+    return _located(m.orders_core, m.geolocation, "customer").select(*ORDER_COLUMNS)
 
 
 def order_items_enriched(m: Market) -> DataFrame:
@@ -176,7 +177,7 @@ def order_metrics(m: Market) -> DataFrame:
     Absent children give zero counts and FALSE flags; money and score stay NULL.
     """
     facts = (
-        _orders_with_customers(m)
+        m.orders_core
         .join(item_totals(m.rows("order_items")), "order_id", "left")
         .join(payment_totals(m.rows("payments")), "order_id", "left")
         .join(review_totals(m.raw("reviews")), "order_id", "left")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,10 @@ from pyspark.sql import types as T
 
 from mercato.functions.numbers import rounded
 from mercato.market import Market
-from mercato.operators import marts
+from mercato.operators import cohort, dashboard, eda, marts, product, quality, rfm
+from mercato.schema import RAW_TABLES
+from mercato.session import scratch_path
+from mercato.sources import csv_ingest, warehouse
 
 Query = Callable[[Market], DataFrame]
 
@@ -31,6 +35,60 @@ def portable(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*[cast(field) for field in df.schema.fields])
 
 
+# complete months of the test data: both boundary months are partial
+MONTHS = (date(1995, 2, 1), date(2001, 7, 1))
+LAST_INDEX = 78  # months between the first and the last purchase
+
+
+# the test data has numeric ids where the file contract has text
+NUMERIC_IDS = {
+    name: T.LongType()
+    for name in ("customer_id", "customer_unique_id", "seller_id", "product_id", "order_id", "review_id")
+}
+
+
+def _ingested(table: str) -> Query:
+    """Write a raw table as CSV and load it back through the strict reader."""
+
+    def run(m: Market) -> DataFrame:
+        path = csv_ingest.write_csv(m.raw(table), scratch_path(m.spark, f"csv-{table}"))
+        return csv_ingest.read_table(m.spark, path, table, NUMERIC_IDS)
+
+    return run
+
+
+def _reloaded(m: Market) -> DataFrame:
+    """Load all CSV tables twice into one place: the second refresh replaces the first."""
+    root = scratch_path(m.spark, "reload")
+    for table in RAW_TABLES:
+        csv_ingest.write_csv(m.raw(table), f"{root}/csv/{table}.csv")
+    for _ in range(2):
+        csv_ingest.ingest(m.spark, f"{root}/csv", f"{root}/raw")
+    return quality.raw_row_counts(Market.from_parquet(m.spark, f"{root}/raw"))
+
+
+def _sql_scan(m: Market) -> DataFrame:
+    warehouse.register_views(m)
+    return m.spark.sql(
+        "SELECT order_status, COUNT(*) AS orders_count, SUM(items_count) AS items_count "
+        "FROM order_metrics GROUP BY order_status"
+    )
+
+
+def _exported(m: Market) -> DataFrame:
+    """Export every mart, read the CSV files back and count their rows."""
+    folder = scratch_path(m.spark, "marts")
+    names = warehouse.export_marts(m, folder)
+    return quality.stacked(
+        [
+            warehouse.read_mart_csv(m.spark, folder, name)
+            .agg(F.count(F.lit(1)).alias("row_count"))
+            .select(F.lit(name).alias("mart"), "row_count")
+            for name in names
+        ]
+    )
+
+
 def all_queries() -> dict[str, Query]:
     named: dict[str, Query] = {
         "v1_products": lambda m: m.products,
@@ -40,6 +98,67 @@ def all_queries() -> dict[str, Query]:
         "v5_order_metrics": lambda m: m.order_metrics,
     }
     named |= {f"m{i}_{name}": build for i, (name, build) in enumerate(marts.MARTS.items(), 1)}
+    named |= {
+        "e1_time_coverage": eda.time_coverage,
+        "e2_orders_per_month": eda.orders_per_month,
+        "e2_boundary_months": eda.boundary_months,
+        "e3_status_shares": eda.status_shares,
+        "e4_status_by_year": eda.status_by_year,
+        "e5_value_by_status": eda.value_by_status,
+        "e6_missing_summary": eda.missing_summary,
+        "e7_missing_by_status": eda.missing_by_status,
+        "e8_order_value_describe": eda.order_value_describe,
+        "e8_largest_orders": eda.largest_orders,
+        "e8_order_value_limit": eda.order_value_limit,
+        "e8_order_value_histogram": eda.order_value_histogram,
+        "e9_delivery_summary": eda.delivery_summary,
+        "e10_delivery_time_describe": eda.delivery_time_describe,
+        "e10_slowest_deliveries": eda.slowest_deliveries,
+        "e10_delivery_time_histogram": eda.delivery_time_histogram,
+        "e11_delays_by_state": eda.delays_by_state,
+        "e11_most_delayed_states": eda.most_delayed_states,
+        "e12_review_distribution": eda.review_distribution,
+        "e13_review_summary": eda.review_summary,
+        "e14_reviews_by_delay": eda.reviews_by_delay,
+        "e15_category_performance": eda.category_performance,
+        "e15_top_categories": lambda m: eda.category_performance(m, 15),
+        "e16_orders_by_state": eda.orders_by_state,
+        "e16_top_states": lambda m: eda.orders_by_state(m, 10),
+        "p1_overall_metrics": product.overall_metrics,
+        "p2_monthly_product_metrics": lambda m: product.monthly_product_metrics(m, MONTHS),
+        "p3_customer_orders": product.customer_orders,
+        "p3_customer_orders_describe": product.customer_orders_describe,
+        "p4_repeat_customer_share": product.repeat_customer_share,
+        "p5_order_frequency_groups": product.order_frequency_groups,
+        "p6_monthly_customers": lambda m: product.monthly_customers(m, MONTHS),
+        "p7_customer_types": lambda m: product.customer_types(m, MONTHS),
+        "p7_repeat_share_by_month": lambda m: product.repeat_share_by_month(m, MONTHS),
+        "p8_items_per_order": lambda m: product.items_per_order_by_month(m, MONTHS),
+        "c1_customer_activity": cohort.customer_activity,
+        "c2_cohort_sizes": lambda m: cohort.cohort_sizes(m, MONTHS),
+        "c3_cohort_counts": cohort.cohort_counts,
+        "c3_retention_counts": lambda m: cohort.retention_counts(m, MONTHS, LAST_INDEX),
+        "c3_retention_matrix": lambda m: cohort.retention_matrix(m, MONTHS, LAST_INDEX),
+        "c4_horizon_comparison": lambda m: cohort.horizon_comparison(m, MONTHS),
+        "c5_horizon_long": lambda m: cohort.horizon_long(m, MONTHS),
+        "c6_retention_summary": lambda m: cohort.retention_summary(m, MONTHS),
+        "f1_customer_values": rfm.customer_values,
+        "f2_value_profile": rfm.value_profile,
+        "f2_value_missing": rfm.value_missing,
+        "f2_recency_histogram": lambda m: rfm.value_histogram(m, "recency"),
+        "f2_monetary_histogram": lambda m: rfm.value_histogram(m, "monetary"),
+        "f3_frequency_distribution": rfm.frequency_distribution,
+        "f3_frequency_groups": rfm.frequency_groups,
+        "f4_quantile_scores": lambda m: rfm.quantile_scored(m).drop("segment"),
+        "f4_score_profile": rfm.score_profile,
+        "f5_total_score_distribution": rfm.total_score_distribution,
+        "f6_segments": lambda m: rfm.quantile_scored(m).select("customer_unique_id", "segment"),
+        "f7_segment_summary": rfm.segment_summary,
+        "f7_segment_value_comparison": rfm.segment_value_comparison,
+    }
+    named |= dashboard.PAGES | quality.CHECKS
+    named |= {f"ingest_{table}": _ingested(table) for table in RAW_TABLES}
+    named |= {"src6_reload_counts": _reloaded, "src8_sql_scan": _sql_scan, "src10_exported_marts": _exported}
     return named
 
 
