@@ -148,9 +148,18 @@ def running_totals(
     )
 
 
-def mid_ranks(df: DataFrame, value: str, weights: Mapping[str, Column] | None = None, unit: float = 1.0) -> DataFrame:
-    """Distinct values with their count ``n``, mid-rank ``rank`` and population size ``n_total``."""
-    counts = {"n": F.count(F.lit(1)), **(weights or {})}
+def mid_ranks(
+    df: DataFrame,
+    value: str,
+    weights: Mapping[str, Column] | None = None,
+    count: Column | None = None,
+    unit: float = 1.0,
+) -> DataFrame:
+    """Distinct values with their count ``n``, mid-rank ``rank`` and population size ``n_total``.
+
+    ``count`` replaces the row count when rows already carry multiplicities.
+    """
+    counts = {"n": F.count(F.lit(1)) if count is None else count, **(weights or {})}
     ranked = running_totals(df, (), value, counts, unit=unit)
     return ranked.withColumn("rank", F.col("n_upto") - F.col("n") + (F.col("n") + 1) / 2)
 

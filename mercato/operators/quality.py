@@ -167,9 +167,9 @@ def constraint_violations(m: Market) -> DataFrame:
     """DQ14: NOT NULL, value rules, unique keys and references of every table as violation counts."""
     frames = []
     for name, spec in RAW_TABLES.items():
-        checks = {f"not_null:{c}": F.col(c).isNull() for c in spec.required if c in m.rows(name).columns}
+        checks = {f"not_null:{c}": F.col(c).isNull() for c in spec.required}
         checks |= {rule: F.expr(predicate) for rule, predicate in spec.rules}
-        counts = m.rows(name).agg(*[F.count_if(bad).alias(rule) for rule, bad in checks.items()])
+        counts = m.raw(name).agg(*[F.count_if(bad).alias(rule) for rule, bad in checks.items()])
         frames.append(counts.unpivot([], list(checks), "rule", "violations").withColumn("table_name", F.lit(name)))
         if spec.key:
             keys = _key_report(m.raw(name), name, spec.key, "table_name")

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def all_oracles() -> dict[str, str]:
-    from mercato.oracles import eda, marts, quality
+    from mercato.oracles import eda, marts, quality, statistics
 
     found: dict[str, str] = {}
-    for module in (quality, marts, eda):
+    for module in (quality, marts, eda, statistics):
         found |= module.ORACLES
     return found

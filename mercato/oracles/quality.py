@@ -84,8 +84,8 @@ REQUIRED = {
         "order_purchase_timestamp",
         "order_estimated_delivery_date",
     ],
-    "order_items": ["order_id", "product_id", "seller_id", "shipping_limit_date", "price", "freight_value"],
-    "payments": ["order_id", "payment_type", "payment_installments", "payment_value"],
+    "order_items": ["order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price", "freight_value"],
+    "payments": ["order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"],
     "reviews": ["review_id", "order_id", "review_score", "review_creation_date", "review_answer_timestamp"],
     "geolocation": [
         "geolocation_zip_code_prefix",

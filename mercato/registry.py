@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from mercato.functions.numbers import rounded
 from mercato.market import Market
-from mercato.operators import cohort, dashboard, eda, marts, product, quality, rfm
+from mercato.operators import cohort, dashboard, eda, experiment, marts, product, quality, rfm, statistics
 from mercato.schema import RAW_TABLES
 from mercato.session import scratch_path
 from mercato.sources import csv_ingest, warehouse
@@ -89,6 +89,10 @@ def _exported(m: Market) -> DataFrame:
     )
 
 
+def _on_trial(evaluate: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda m: evaluate(experiment.experiment_frame(m))
+
+
 def all_queries() -> dict[str, Query]:
     named: dict[str, Query] = {
         "v1_products": lambda m: m.products,
@@ -159,6 +163,50 @@ def all_queries() -> dict[str, Query]:
     named |= dashboard.PAGES | quality.CHECKS
     named |= {f"ingest_{table}": _ingested(table) for table in RAW_TABLES}
     named |= {"src6_reload_counts": _reloaded, "src8_sql_scan": _sql_scan, "src10_exported_marts": _exported}
+    named |= {
+        "t1_group_sizes": statistics.group_sizes,
+        "t1_delay_review_summary": statistics.delay_review_summary,
+        "t1_delay_review_distribution": statistics.delay_review_distribution,
+        "t2_delay_welch": statistics.delay_welch,
+        "t3_delay_mann_whitney": statistics.delay_mann_whitney,
+        "t4_delay_effect": statistics.delay_effect,
+        "t5_value_time_pearson": statistics.value_time_pearson,
+        "t6_value_time_spearman": statistics.value_time_spearman,
+        "t6_items_freight_spearman": statistics.items_freight_spearman,
+        "t7_items_freight_kruskal": statistics.items_freight_kruskal,
+        "t8_category_kruskal": statistics.category_kruskal,
+        "t9_value_time_describe": statistics.value_time_describe,
+        "t9_value_time_missing": statistics.value_time_missing,
+        "t9_value_time_line": statistics.value_time_line,
+        "t9_items_freight_describe": statistics.items_freight_describe,
+        "t9_freight_by_items": statistics.freight_by_items,
+        "t10_category_review_summary": statistics.category_review_summary,
+        "t11_delay_test_summary": statistics.delay_test_summary,
+        "t11_correlation_summary": statistics.correlation_summary,
+        "t11_freight_test_summary": statistics.freight_test_summary,
+        "t11_category_test_summary": statistics.category_test_summary,
+        "t12_hypothesis_table": statistics.hypothesis_table,
+    }
+    trials = {
+        "x1_users_in_several_groups": experiment.users_in_several_groups,
+        "x2_sample_ratio": experiment.sample_ratio,
+        "x2_sample_ratio_summary": experiment.sample_ratio_summary,
+        "x3_conversion_summary": experiment.conversion_summary,
+        "x3_uplift": experiment.uplift,
+        "x4_conversion_z": experiment.conversion_z,
+        "x4_primary_test_summary": experiment.primary_test_summary,
+        "x5_conversion_interval": experiment.conversion_interval,
+        "x6_conversion_effect": experiment.conversion_effect,
+        "x7_guardrail_summary": experiment.guardrail_summary,
+        "x8_guardrail_cancellation": experiment.guardrail_cancellation,
+        "x8_guardrail_welch": experiment.guardrail_welch,
+        "x8_guardrail_mann_whitney": experiment.guardrail_mann_whitney,
+        "x8_guardrail_test_summary": experiment.guardrail_test_summary,
+        "x9_decision_table": experiment.decision_table,
+        "x9_final_decision": experiment.final_decision,
+    }
+    named |= {name: _on_trial(evaluate) for name, evaluate in trials.items()}
+    named["x10_repeat_purchases"] = experiment.repeat_purchases
     return named
 
 
