@@ -111,6 +111,14 @@ def quantiles(
     return picked.select(*_restore(by), *columns)
 
 
+def positioned(
+    df: DataFrame, by: Sequence[str], value: str, position: Callable[[Column], Column], name: str, unit: float = 1.0
+) -> DataFrame:
+    """The value at a 0-based ascending position that depends on the group size; no row if out of range."""
+    picked = _pick(df, by, value, lambda size: [("at", position(size))], unit)
+    return picked.select(*_restore(by), F.col("_v").alias(name))
+
+
 def running_totals(
     df: DataFrame,
     by: Sequence[str],

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def all_oracles() -> dict[str, str]:
-    from mercato.oracles import eda, marts, quality, statistics
+    from mercato.oracles import eda, low_review, marts, quality, statistics
 
     found: dict[str, str] = {}
-    for module in (quality, marts, eda, statistics):
+    for module in (quality, marts, eda, statistics, low_review):
         found |= module.ORACLES
     return found

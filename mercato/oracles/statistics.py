@@ -37,10 +37,10 @@ def moments(source: str, x: str, first: str) -> str:
     return f"SELECT {', '.join(parts)} FROM {source}"
 
 
-def welch(source: str, x: str, first: str) -> str:
-    return f"""SELECT n1, n2, {r6('mean1')} AS mean1, {r6('mean2')} AS mean2, {r6('var1')} AS var1, {r6('var2')} AS var2,
-        {r6('(mean1 - mean2) / SQRT(var1 / n1 + var2 / n2)')} AS t,
-        {r6('POWER(var1 / n1 + var2 / n2, 2) / (POWER(var1 / n1, 2) / (n1 - 1) + POWER(var2 / n2, 2) / (n2 - 1))')} AS df
+def welch(source: str, x: str, first: str, rd=r6) -> str:
+    return f"""SELECT n1, n2, {rd('mean1')} AS mean1, {rd('mean2')} AS mean2, {rd('var1')} AS var1, {rd('var2')} AS var2,
+        {rd('(mean1 - mean2) / SQRT(var1 / n1 + var2 / n2)')} AS t,
+        {rd('POWER(var1 / n1 + var2 / n2, 2) / (POWER(var1 / n1, 2) / (n1 - 1) + POWER(var2 / n2, 2) / (n2 - 1))')} AS df
         FROM ({moments(source, x, first)})"""
 
 
@@ -48,23 +48,23 @@ def mid(x: str, over: str = "") -> str:
     return f"""(RANK() OVER (ORDER BY {x}) + (COUNT(*) OVER (PARTITION BY {x}) - 1) / 2.0)"""
 
 
-def mann_whitney(source: str, x: str, first: str, tail: str) -> str:
-    return f"""SELECT n1, n2, {r6('u')} AS u,
-        {r6(f'({tail} - CAST(n1 AS DOUBLE) * n2 / 2 - 0.5) / SQRT(CAST(n1 AS DOUBLE) * n2 / 12 * (n1 + n2 + 1 - ties / (CAST(n1 + n2 AS DOUBLE) * (n1 + n2 - 1))))')} AS z
+def mann_whitney(source: str, x: str, first: str, tail: str, rd=r6) -> str:
+    return f"""SELECT n1, n2, {rd('u')} AS u,
+        {rd(f'({tail} - CAST(n1 AS DOUBLE) * n2 / 2 - 0.5) / SQRT(CAST(n1 AS DOUBLE) * n2 / 12 * (n1 + n2 + 1 - ties / (CAST(n1 + n2 AS DOUBLE) * (n1 + n2 - 1))))')} AS z
         FROM (SELECT COUNT(CASE WHEN f THEN 1 END) AS n1, COUNT(CASE WHEN NOT f THEN 1 END) AS n2,
               CAST(SUM(CASE WHEN f THEN r END) AS DOUBLE) - COUNT(CASE WHEN f THEN 1 END) * (COUNT(CASE WHEN f THEN 1 END) + 1) / 2.0 AS u,
               SUM(CAST(k AS DOUBLE) * k - 1) AS ties
               FROM (SELECT {first} AS f, {mid(x)} AS r, COUNT(*) OVER (PARTITION BY {x}) AS k FROM {source}))"""
 
 
-def correlated(source: str, x: str, y: str, ranks: bool) -> str:
+def correlated(source: str, x: str, y: str, ranks: bool, rd=r6) -> str:
     a, b = (mid(x), mid(y)) if ranks else (f"CAST({x} AS DOUBLE)", f"CAST({y} AS DOUBLE)")
-    return f"""SELECT n, {r6('r')} AS r, {r6('r * SQRT((n - 2) / (1 - r * r))')} AS t, CAST(n - 2 AS DOUBLE) AS df
+    return f"""SELECT n, {rd('r')} AS r, {rd('r * SQRT((n - 2) / (1 - r * r))')} AS t, CAST(n - 2 AS DOUBLE) AS df
         FROM (SELECT COUNT(*) AS n, CORR(a, b) AS r FROM (SELECT CAST({a} AS DOUBLE) AS a, CAST({b} AS DOUBLE) AS b FROM {source}))"""
 
 
-def kruskal(source: str, x: str, g: str) -> str:
-    return f"""SELECT n, k, {r6('h')} AS h, k - 1 AS df, {r6('(h - k + 1) / (n - k)')} AS epsilon_squared FROM (
+def kruskal(source: str, x: str, g: str, rd=r6) -> str:
+    return f"""SELECT n, k, {rd('h')} AS h, k - 1 AS df, {rd('(h - k + 1) / (n - k)')} AS epsilon_squared FROM (
         SELECT n, k, (12.0 / (n * (n + 1.0)) * sq - 3 * (n + 1)) / (1 - ties / (CAST(n AS DOUBLE) * n * n - n)) AS h FROM (
           SELECT SUM(m)::BIGINT AS n, COUNT(*) AS k, SUM(rs * rs / m) AS sq, SUM(tt) AS ties FROM (
             SELECT {g} AS g, COUNT(*) AS m, CAST(SUM(r) AS DOUBLE) AS rs, SUM(CAST(k AS DOUBLE) * k - 1) AS tt
@@ -121,7 +121,213 @@ CANCEL = z_test("tx", "tc", "cx", "cc")
 CR, TR = div("cc", "cn"), div("tc", "tn")
 TREATED = "\"group\" = 'Treatment'"
 
+STEPS = 4000  # Simpson intervals; six decimals need far fewer
+
+
+def integral(density: str, upper: str) -> str:
+    """Simpson integral of ``density`` (a text in x) from 0 to ``upper``."""
+    return f"""(SELECT SUM(w * ({density})) * ANY_VALUE(h) / 3 FROM (
+        SELECT i * ({upper}) / {STEPS}.0 AS x, ({upper}) / {STEPS}.0 AS h,
+               CASE WHEN i IN (0, {STEPS}) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END AS w
+        FROM (SELECT UNNEST(RANGE({STEPS + 1})) AS i)))"""
+
+
+def exact(expr: str) -> str:
+    return f"({expr})"
+
+
+def normal_upper(z: str) -> str:
+    z = f"GREATEST(LEAST({z}, 40), -40)"
+    return f"(0.5 - {integral('EXP(-x * x / 2) / SQRT(2 * PI())', z)})"
+
+
+def t_upper(t: str, df: str) -> str:
+    scale = f"EXP(LGAMMA(({df} + 1) / 2.0) - LGAMMA({df} / 2.0)) / SQRT({df} * PI())"
+    t = f"GREATEST(LEAST({t}, 40), -40)"
+    return f"(0.5 - {scale} * {integral(f'POWER(1 + x * x / {df}, -({df} + 1) / 2.0)', t)})"
+
+
+def chi2_upper(x: str, df: str) -> str:
+    scale = f"EXP(-LGAMMA({df} / 2.0)) / POWER(2, {df} / 2.0)"
+    return f"(1 - {scale} * {integral(f'POWER(x, {df} / 2.0 - 1) * EXP(-x / 2)', f'LEAST({x}, 200)')})"
+
+
+def p(expr: str) -> str:
+    return r6(f"LEAST(1, GREATEST(0, {expr}))")
+
+
+def lines(pairs: dict[str, str], source: str) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{label.replace(chr(39), chr(39) * 2)}' AS metric, {r6(f'CAST({c} AS DOUBLE)')} AS value FROM {source}"
+        for label, c in pairs.items()
+    )
+
+
+D_VALUE = f"""SELECT (mean1 - mean2) / SQRT(((n1 - 1) * var1 + (n2 - 1) * var2) / (n1 + n2 - 2)) AS d
+    FROM ({moments('delay', 's', 'is_delayed')})"""
+RESULTS = {
+    **FRAMES,
+    "welch_row": welch("delay", "s", "is_delayed", exact),
+    "rank_row": mann_whitney("delay", "s", "is_delayed", "(CAST(n1 AS DOUBLE) * n2 - u)", exact),
+    "effect_row": D_VALUE,
+    "pearson_row": correlated("vt", "order_value", "delivery_time_days", False, exact),
+    "value_rho": correlated("vt", "order_value", "delivery_time_days", True, exact),
+    "freight_rho": correlated("freight", "items_count", "freight_value", True, exact),
+    "freight_h": kruskal("freight", "freight_value", "items_group", exact),
+    "category_h": kruskal("category", "s", "product_category", exact),
+    "delays": f"""SELECT mean1, mean2, mean1 - mean2 AS diff, {p(t_upper('-welch_row.t', 'welch_row.df'))} AS wp,
+        {p(normal_upper('rank_row.z'))} AS up, d FROM welch_row, rank_row, effect_row""",
+    "freights": f"""SELECT r, {p('2 * ' + t_upper('ABS(freight_rho.t)', 'freight_rho.df'))} AS rp, h, {p(chi2_upper('freight_h.h', 'freight_h.df'))} AS hp,
+        epsilon_squared FROM freight_rho, freight_h""",
+    "categories": f"SELECT h, {p(chi2_upper('category_h.h', 'category_h.df'))} AS hp, epsilon_squared FROM category_h",
+    "values_time": f"SELECT r, {p('2 * ' + t_upper('ABS(value_rho.t)', 'value_rho.df'))} AS rp FROM value_rho",
+}
+
+
+def tested(body: str) -> str:
+    return sql(body, **RESULTS)
+
+
+def labelled(measure: str, limits: list[tuple[float, str]], last: str) -> str:
+    steps = " ".join(f"WHEN ABS(effect_value) < {x} THEN '{name}'" for x, name in limits)
+    return f"WHEN effect_measure = '{measure}' THEN CASE {steps} ELSE '{last}' END"
+
+
+HYPOTHESES = f"""SELECT *, CASE
+    {labelled("Cohen''s d", [(0.2, 'Negligible'), (0.5, 'Small'), (0.8, 'Medium')], 'Large')}
+    {labelled('Spearman correlation', [(0.1, 'Negligible'), (0.3, 'Weak'), (0.5, 'Moderate')], 'Strong')}
+    {labelled('Epsilon-squared', [(0.01, 'Negligible'), (0.06, 'Small'), (0.14, 'Medium')], 'Large')}
+    END AS effect_interpretation, p_value < 0.05 AS statistically_significant FROM (
+    SELECT 1 AS position, 'Delayed orders have lower review scores' AS hypothesis, 'Welch t-test, Mann–Whitney U' AS method,
+           GREATEST(wp, up) AS p_value, 'Cohen''s d' AS effect_measure, {r6('d')} AS effect_value FROM delays
+    UNION ALL SELECT 2, 'Higher-value orders take longer to deliver', 'Pearson and Spearman correlation', rp,
+           'Spearman correlation', {r6('r')} FROM values_time
+    UNION ALL SELECT 3, 'Orders with more items have higher freight cost', 'Spearman correlation, Kruskal–Wallis', hp,
+           'Epsilon-squared', {r6('epsilon_squared')} FROM freights
+    UNION ALL SELECT 4, 'Review scores differ across product categories', 'Kruskal–Wallis', hp, 'Epsilon-squared',
+           {r6('epsilon_squared')} FROM categories)"""
+
+TRIALS = {
+    **EXPERIMENT,
+    "main_row": f"""SELECT {CR} AS control, {TR} AS treated, {MAIN[0]} AS diff, {MAIN[0]} / {CR} AS relative, {MAIN[1]} AS z,
+        {MAIN[2]} AS lo, {MAIN[3]} AS hi, cn, tn,
+        (POWER(cn - (cn + tn) / 2.0, 2) + POWER(tn - (cn + tn) / 2.0, 2)) / ((cn + tn) / 2.0) AS chi FROM sizes""",
+    "cancel_row": f"SELECT {CANCEL[0]} AS xd, {CANCEL[1]} AS xz, {CANCEL[2]} AS xlo, {CANCEL[3]} AS xhi FROM sizes",
+    "value_welch": welch("bought", "value", TREATED, exact),
+    "value_rank": mann_whitney("bought", "value", TREATED, "GREATEST(u, CAST(n1 AS DOUBLE) * n2 - u)", exact),
+    "evaluated": f"""SELECT main_row.*, cancel_row.*, {p('2 * ' + normal_upper('SQRT(chi)'))} AS srm_p,
+        {p('2 * ' + normal_upper('ABS(main_row.z)'))} AS main_p, {p('2 * ' + normal_upper('ABS(xz)'))} AS cancel_p,
+        value_welch.mean1 - value_welch.mean2 AS vd, {p('2 * ' + t_upper('ABS(value_welch.t)', 'value_welch.df'))} AS welch_p,
+        {p('2 * ' + normal_upper('value_rank.z'))} AS u_p FROM main_row, cancel_row, value_welch, value_rank""",
+}
+CRITERIA = {
+    "No sample ratio mismatch": "srm_p >= 0.05",
+    "Primary metric is statistically significant": "main_p < 0.05",
+    "Confidence interval is above zero": "lo > 0",
+    "Observed uplift is close to target MDE": "diff >= 0.0045",
+    "Cancellation rate does not deteriorate": "cancel_p >= 0.05",
+    "Repeat order value does not deteriorate": "welch_p >= 0.05 AND u_p >= 0.05",
+}
+
+
+def evaluated(body: str) -> str:
+    return sql(body, **TRIALS)
+
+
 ORACLES = {
+    "t11_delay_test_summary": tested(
+        lines(
+            {
+                "Delayed mean": "mean1",
+                "On-time mean": "mean2",
+                "Mean difference": "diff",
+                "Welch p-value": "wp",
+                "Mann–Whitney p-value": "up",
+                "Cohen's d": "d",
+            },
+            "delays",
+        )
+    ),
+    "t11_correlation_summary": tested(
+        f"""SELECT 'Pearson' AS method, {r6('r')} AS correlation, {p('2 * ' + t_upper('ABS(pearson_row.t)', 'pearson_row.df'))} AS p_value FROM pearson_row
+        UNION ALL SELECT 'Spearman', {r6('r')}, rp FROM values_time"""
+    ),
+    "t11_freight_test_summary": tested(
+        lines(
+            {
+                "Spearman correlation": "r",
+                "Spearman p-value": "rp",
+                "Kruskal–Wallis statistic": "h",
+                "Kruskal–Wallis p-value": "hp",
+                "Epsilon-squared": "epsilon_squared",
+            },
+            "freights",
+        )
+    ),
+    "t11_category_test_summary": tested(
+        lines(
+            {
+                "Kruskal–Wallis statistic": "h",
+                "Kruskal–Wallis p-value": "hp",
+                "Epsilon-squared": "epsilon_squared",
+            },
+            "categories",
+        )
+    ),
+    "t12_hypothesis_table": tested(HYPOTHESES),
+    "x2_sample_ratio_summary": evaluated(
+        lines(
+            {
+                "Control customers": "cn",
+                "Treatment customers": "tn",
+                "Chi-square statistic": "chi",
+                "SRM p-value": "srm_p",
+            },
+            "evaluated",
+        )
+    ),
+    "x4_primary_test_summary": evaluated(
+        lines(
+            {
+                "Control conversion": "control",
+                "Treatment conversion": "treated",
+                "Absolute uplift": "diff",
+                "Relative uplift": "relative",
+                "Z-statistic": "z",
+                "P-value": "main_p",
+                "CI lower bound": "lo",
+                "CI upper bound": "hi",
+            },
+            "evaluated",
+        )
+    ),
+    "x8_guardrail_test_summary": evaluated(
+        lines(
+            {
+                "Cancellation rate difference": "xd",
+                "Cancellation z-test p-value": "cancel_p",
+                "Cancellation CI lower bound": "xlo",
+                "Cancellation CI upper bound": "xhi",
+                "Repeat order value difference": "vd",
+                "Welch p-value": "welch_p",
+                "Mann–Whitney p-value": "u_p",
+            },
+            "evaluated",
+        )
+    ),
+    "x9_decision_table": evaluated(
+        "\nUNION ALL\n".join(
+            f"""SELECT '{name}' AS criterion, {check} AS result, CASE WHEN {check} THEN 'Passed' ELSE 'Failed' END AS status
+            FROM evaluated"""
+            for name, check in CRITERIA.items()
+        )
+    ),
+    "x9_final_decision": evaluated(
+        f"""SELECT CASE WHEN {' AND '.join(f'({c})' for c in CRITERIA.values())} THEN 'Recommend rollout'
+        ELSE 'Do not recommend rollout' END AS experiment_result, {r6('diff * 100')} AS absolute_uplift_pp,
+        {r6('relative * 100')} AS relative_uplift_percent, main_p AS primary_metric_p_value,
+        {r6('lo * 100')} AS ci_lower_bound_pp, {r6('hi * 100')} AS ci_upper_bound_pp FROM evaluated"""
+    ),
     "t1_group_sizes": frame(f"SELECT {STATUS} AS delivery_status, COUNT(*) AS orders_count FROM delay GROUP BY 1"),
     "t1_delay_review_summary": frame(score_groups("delay", STATUS, "delivery_status", "orders_count")),
     "t1_delay_review_distribution": frame(

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mercato.functions.numbers import rounded
+from mercato.functions import scoring
 from mercato.market import Market
-from mercato.operators import cohort, dashboard, eda, experiment, marts, product, quality, rfm, statistics
+from mercato.operators import cohort, dashboard, eda, experiment, low_review, marts, product, quality, rfm, statistics
 from mercato.schema import RAW_TABLES
 from mercato.session import scratch_path
 from mercato.sources import csv_ingest, warehouse
@@ -89,6 +90,17 @@ def _exported(m: Market) -> DataFrame:
     )
 
 
+def study_of(m: Market) -> low_review.LowReviewStudy:
+    """One study per market, so a model is fitted once for all queries that look at it."""
+    if not hasattr(m, "_study"):
+        m._study = low_review.LowReviewStudy(m)
+    return m._study
+
+
+def _decided(scores: DataFrame) -> DataFrame:
+    return low_review.LowReviewStudy.at_best_threshold(scores)
+
+
 def _on_trial(evaluate: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda m: evaluate(experiment.experiment_frame(m))
 
@@ -206,6 +218,40 @@ def all_queries() -> dict[str, Query]:
         "x9_final_decision": experiment.final_decision,
     }
     named |= {name: _on_trial(evaluate) for name, evaluate in trials.items()}
+    named |= {
+        "l1_model_frame": low_review.model_frame,
+        "l1_missing_features": low_review.missing_features,
+        "l2_target_distribution": low_review.target_distribution,
+        "l3_feature_describe": low_review.feature_describe,
+        "l3_feature_summary": low_review.feature_summary,
+        "l3_delay_by_review": low_review.delay_by_review,
+        "l4_split": lambda m: study_of(m).frame.select("order_id", "is_low_review", "is_test"),
+        "l4_split_summary": lambda m: study_of(m).split_summary(),
+        "l4_split_overlap": lambda m: study_of(m).split_overlap(),
+        "l5_fill_values": lambda m: study_of(m).fill_values(),
+        "l8_prior_metrics": lambda m: study_of(m).prior_metrics(),
+        "l9_logistic_metrics": lambda m: study_of(m).comparison([low_review.LOGISTIC]),
+        "l10_forest_metrics": lambda m: study_of(m).comparison([low_review.FOREST]),
+        "l11_model_comparison": lambda m: study_of(m).comparison(),
+        "l11_delay_score_metrics": lambda m: scoring.metrics(study_of(m).delay_scores(), ["model"]),
+        "l12_delay_score_report": lambda m: scoring.report(study_of(m).delay_scores(), low_review.CLASS_NAMES),
+        "l12_logistic_report": lambda m: scoring.report(study_of(m).logistic_scores, low_review.CLASS_NAMES),
+        "l12_forest_report": lambda m: scoring.report(study_of(m).forest_scores, low_review.CLASS_NAMES),
+        "l13_delay_score_curve": lambda m: scoring.curve(study_of(m).delay_scores()),
+        "l13_forest_curve": lambda m: scoring.curve(study_of(m).forest_scores),
+        "l14_delay_score_sweep": lambda m: scoring.sweep(study_of(m).delay_scores()),
+        "l14_delay_score_best": lambda m: scoring.best_threshold(study_of(m).delay_scores()),
+        "l14_forest_best": lambda m: scoring.best_threshold(study_of(m).forest_scores),
+        "l15_delay_score_threshold": lambda m: study_of(m).threshold_metrics(study_of(m).delay_scores()),
+        "l15_delay_score_confusion": lambda m: scoring.confusion(_decided(study_of(m).delay_scores())),
+        "l15_forest_confusion": lambda m: scoring.confusion(_decided(study_of(m).forest_scores)),
+        "l16_feature_importance": lambda m: study_of(m).feature_importance(),
+        "l17_permutation_importance": lambda m: study_of(m).permutation_importance(),
+        "l18_delay_score_error_counts": lambda m: study_of(m).error_counts(study_of(m).delay_scores()),
+        "l18_delay_score_error_groups": lambda m: study_of(m).error_groups(study_of(m).delay_scores()),
+        "l18_delay_score_error_boxes": lambda m: study_of(m).error_boxes(study_of(m).delay_scores()),
+        "l18_forest_error_groups": lambda m: study_of(m).error_groups(study_of(m).forest_scores),
+    }
     named["x10_repeat_purchases"] = experiment.repeat_purchases
     return named
 
