@@ -38,7 +38,8 @@ def welch(df: DataFrame, value: str, first: Column) -> DataFrame:
     """t statistic and degrees of freedom of mean(first) - mean(rest), unequal variances."""
     a, b = per(_c("var1"), _c("n1")), per(_c("var2"), _c("n2"))
     return two_samples(df, value, first).select(
-        "*",
+        *[_c(f"{name}{group}") for group in "12" for name in ("n", "mean")],
+        *[F.sqrt(f"var{group}").alias(f"sd{group}") for group in "12"],
         per(_c("mean1") - _c("mean2"), F.sqrt(a + b)).alias("t"),
         per((a + b) * (a + b), per(a * a, _c("n1") - 1) + per(b * b, _c("n2") - 1)).alias("df"),
     )

@@ -38,7 +38,7 @@ def moments(source: str, x: str, first: str) -> str:
 
 
 def welch(source: str, x: str, first: str, rd=r6) -> str:
-    return f"""SELECT n1, n2, {rd('mean1')} AS mean1, {rd('mean2')} AS mean2, {rd('var1')} AS var1, {rd('var2')} AS var2,
+    return f"""SELECT n1, n2, {rd('mean1')} AS mean1, {rd('mean2')} AS mean2, {rd('SQRT(var1)')} AS sd1, {rd('SQRT(var2)')} AS sd2,
         {rd('(mean1 - mean2) / SQRT(var1 / n1 + var2 / n2)')} AS t,
         {rd('POWER(var1 / n1 + var2 / n2, 2) / (POWER(var1 / n1, 2) / (n1 - 1) + POWER(var2 / n2, 2) / (n2 - 1))')} AS df
         FROM ({moments(source, x, first)})"""

@@ -30,7 +30,9 @@ def portable(df: DataFrame, digits: int = 6) -> DataFrame:
         if isinstance(field.dataType, (T.ByteType, T.ShortType, T.IntegerType)):
             return column.cast("bigint").alias(field.name)
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            return rounded(column, digits).alias(field.name)
+            # beyond 1e14 a double has no sixth decimal to round, and DECIMAL(24,9) no room
+            fits = F.abs(column) < 1e14
+            return F.when(fits, rounded(F.when(fits, column), digits)).otherwise(column).alias(field.name)
         return column
 
     return df.select(*[cast(field) for field in df.schema.fields])
