@@ -120,31 +120,40 @@ def _with_t(result: DataFrame) -> DataFrame:
     return result.select("n", "r", t.alias("t"), free.alias("df"))
 
 
-def kruskal(df: DataFrame, value: str, group: str) -> DataFrame:
-    """Tie-corrected H over the groups, its degrees of freedom and epsilon squared."""
-    known = df.where(_c(value).isNotNull() & _c(group).isNotNull())
-    ranked = mid_ranks(known, value).select(value, "rank", "n_total", F.col("n").cast("double").alias("tied"))
-    cells = known.groupBy(_c(group).alias("g"), value).agg(F.count(F.lit(1)).alias("cell"))
+def kruskal(df: DataFrame, value: str, group: str, count: Column | None = None) -> DataFrame:
+    """Tie-corrected H over the groups, its degrees of freedom and epsilon squared.
+
+    Everything follows from the counts per (group, value); ``count`` replaces the row count when
+    rows already carry multiplicities.
+    """
+    cells = (
+        df.where(_c(value).isNotNull() & _c(group).isNotNull())
+        .groupBy(_c(group).alias("g"), _c(value).alias("v"))
+        .agg((F.count(F.lit(1)) if count is None else count).alias("cell"))
+    )
+    ranked = mid_ranks(cells, "v", count=F.sum("cell")).select("v", "rank", F.col("n").cast("double").alias("t"))
     groups = (
-        cells.join(ranked.select(value, "rank"), value)
+        cells.join(ranked, "v")
         .groupBy("g")
-        .agg(F.sum(_c("cell") * _c("rank")).alias("rank_sum"), F.sum("cell").alias("size"))
+        .agg(
+            F.sum(_c("cell") * _c("rank")).alias("rank_sum"),
+            F.sum("cell").alias("size"),
+            F.sum(_c("cell") * (_c("t") * _c("t") - 1)).alias("tied"),  # adds up to the sum of t^3 - t
+        )
     )
-    t = _c("tied")
-    ties = ranked.agg(F.sum(t * t * t - t).alias("ties"))
     n = _c("n").cast("double")
     raw = 12 / (n * (n + 1)) * _c("squares") - 3 * (n + 1)
     h = per(raw, 1 - per(_c("ties"), n * n * n - n))
-    result = (
+    return (
         groups.agg(
             F.sum("size").alias("n"),
             F.count(F.lit(1)).alias("k"),
             F.sum(_c("rank_sum") * _c("rank_sum") / _c("size")).alias("squares"),
+            F.sum("tied").alias("ties"),
         )
-        .withColumn("ties", ties.scalar())
         .select("n", "k", h.alias("h"), (_c("k") - 1).alias("df"))
+        .withColumn("epsilon_squared", per(_c("h") - _c("k") + 1, _c("n") - _c("k")))
     )
-    return result.withColumn("epsilon_squared", per(_c("h") - _c("k") + 1, _c("n") - _c("k")))
 
 
 def with_chi2_p(result: DataFrame, statistic: str = "h", name: str = "p_value") -> DataFrame:

@@ -47,6 +47,7 @@ def _pick(
     value: str,
     targets: Callable[[Column], list[tuple[str, Column]]],
     unit: float,
+    count: Column | None = None,
 ) -> DataFrame:
     """Values at given 0-based positions of the ascending order, per group.
 
@@ -56,7 +57,7 @@ def _pick(
     counts = (
         df.where(F.col(value).isNotNull())
         .groupBy(_group_key(by).alias("_k"), F.col(value).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg((F.count(F.lit(1)) if count is None else count).alias("_n"))
         .withColumn("_slot", slot_of(F.col("_v"), unit))
     )
     group = Window.partitionBy("_k")
@@ -85,9 +86,17 @@ def _pick(
 
 
 def quantiles(
-    df: DataFrame, by: Sequence[str], value: str, probs: Mapping[str, float], unit: float = 1.0
+    df: DataFrame,
+    by: Sequence[str],
+    value: str,
+    probs: Mapping[str, float],
+    unit: float = 1.0,
+    count: Column | None = None,
 ) -> DataFrame:
-    """Exact quantiles with linear interpolation, one column per entry of ``probs``."""
+    """Exact quantiles with linear interpolation, one column per entry of ``probs``.
+
+    ``count`` replaces the row count when rows already carry multiplicities.
+    """
 
     def targets(size: Column) -> list[tuple[str, Column]]:
         found = []
@@ -99,7 +108,7 @@ def quantiles(
     def at(label: str) -> Column:
         return F.max(F.when(F.col("_label") == label, F.col("_v").cast("double")))
 
-    picked = _pick(df, by, value, targets, unit).groupBy("_k").agg(
+    picked = _pick(df, by, value, targets, unit, count).groupBy("_k").agg(
         F.max("_total").alias("_total"),
         *[at(f"{n}:{end}").alias(f"_{n}_{end}") for n in probs for end in ("lo", "hi")],
     )
@@ -187,7 +196,8 @@ def ntile(df: DataFrame, value: str, tie: str, tiles: int, name: str, unit: floa
         return [(str(j), whole * j + F.least(F.lit(j), extra) - 1) for j in range(1, tiles)]
 
     edges = _pick(keyed, (), "_v", last_of_tile, unit).select("_label", "_v", "_rest")
-    tied = keyed.join(edges, "_v").withColumn("_slot", _order_slot(keyed, "_tie"))
+    # edges and tie slots hold one row per boundary, at most tiles - 1
+    tied = keyed.join(F.broadcast(edges), "_v").withColumn("_slot", _order_slot(keyed, "_tie"))
     label = Window.partitionBy("_label")
     tie_slots = (
         tied.groupBy("_label", "_slot")
@@ -199,7 +209,7 @@ def ntile(df: DataFrame, value: str, tie: str, tiles: int, name: str, unit: floa
     )
     cuts = (
         tied.drop("_rest")
-        .join(tie_slots, ["_label", "_slot"])
+        .join(F.broadcast(tie_slots), ["_label", "_slot"])
         .withColumn("_at", F.row_number().over(label.orderBy("_tie")) - 1)
         .where("_at = _rest")
         .agg(

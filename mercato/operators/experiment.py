@@ -14,6 +14,7 @@ from mercato.functions.numbers import mean, per
 from mercato.functions.order_stats import quantiles
 from mercato.market import Market
 from mercato.operators.statistics import as_metrics
+from mercato.session import written
 
 CONTROL, TREATMENT = "Control", "Treatment"
 WINDOW_DAYS = 30
@@ -185,7 +186,8 @@ def guardrail_mann_whitney(df: DataFrame) -> DataFrame:
 
 
 def _evaluated(df: DataFrame) -> DataFrame:
-    """One row with every statistic and p-value that the decision needs."""
+    """One row with every statistic and p-value that the decision needs; the users are written once."""
+    df = written(df, "trial")
     cancel = guardrail_cancellation(df).select(
         F.col("difference").alias("cancel_difference"),
         F.col("z").alias("cancel_z"),

@@ -18,6 +18,7 @@ from mercato.functions.profile import (
     with_share,
 )
 from mercato.market import Market
+from mercato.session import written
 
 UPPER_PERCENTILES = (0.5, 0.75, 0.9, 0.95, 0.99)
 ALPHA = 0.05
@@ -53,11 +54,11 @@ def items_and_freight(m: Market) -> DataFrame:
     )
 
 
-def category_reviews(m: Market, size: int = 10) -> DataFrame:
-    """Scores of single-category orders in the categories with most of them.
+def _single_category_scores(m: Market) -> DataFrame:
+    """(product_category, review_score) of every reviewed, completed order with only one category.
 
-    An order belongs to one category when its smallest and largest category agree, which needs no
-    distinct set per order.
+    An order has one category when its smallest and largest category agree, which needs no distinct
+    set per order.
     """
     lines = m.rows("order_items").select("order_id", "product_id").distinct()
     category = m.products.select("product_id", F.col("product_category_name_english").alias("category"))
@@ -71,22 +72,36 @@ def category_reviews(m: Market, size: int = 10) -> DataFrame:
     scores = m.delivered.where("average_review_score IS NOT NULL").select(
         "order_id", F.col("average_review_score").alias("review_score")
     )
-    orders = single.join(scores, "order_id")
-    top = (
-        orders.groupBy("product_category")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "product_category")
-        .limit(size)
-    )
-    return orders.join(top.select("product_category"), "product_category", "left_semi").select(
-        "product_category", "review_score"
-    )
+    return single.join(scores, "order_id").select("product_category", "review_score")
+
+
+def _counted(scores: DataFrame) -> DataFrame:
+    return scores.groupBy("product_category", "review_score").agg(F.count(F.lit(1)).alias("orders"))
+
+
+def _top_categories(counts: DataFrame, size: int) -> DataFrame:
+    by_orders = counts.groupBy("product_category").agg(F.sum("orders").alias("n"))
+    top = by_orders.orderBy(F.desc("n"), "product_category").limit(size)
+    return F.broadcast(top.select("product_category"))  # ``size`` rows
+
 
+def category_score_counts(m: Market, size: int = 10) -> DataFrame:
+    """Orders per (category, score) in the categories with most single-category orders."""
+    counts = _counted(_single_category_scores(m))
+    return counts.join(_top_categories(counts, size), "product_category", "left_semi")
 
-def _score_groups(df: DataFrame, by: str, sizes: str) -> DataFrame:
+
+def category_reviews(m: Market, size: int = 10) -> DataFrame:
+    """The same as one row per order."""
+    scores = _single_category_scores(m)
+    return scores.join(_top_categories(_counted(scores), size), "product_category", "left_semi")
+
+
+def _score_groups(df: DataFrame, by: str) -> DataFrame:
+    """Size, mean, median, deviation and low share of ``review_score`` per group."""
     score = F.col("review_score")
     moments = df.groupBy(by).agg(
-        F.count(score).alias(sizes),
+        F.count(score).alias("orders_count"),
         mean(score).alias("average_review_score"),
         F.stddev_samp(score.cast("double")).alias("standard_deviation"),
         per(F.count_if(score <= 2), F.count(F.lit(1))).alias("low_score_share"),
@@ -100,7 +115,7 @@ def group_sizes(m: Market) -> DataFrame:
 
 
 def delay_review_summary(m: Market) -> DataFrame:
-    return _score_groups(delay_reviews(m).withColumn("delivery_status", _status()), "delivery_status", "orders_count")
+    return _score_groups(delay_reviews(m).withColumn("delivery_status", _status()), "delivery_status")
 
 
 def delay_review_distribution(m: Market) -> DataFrame:
@@ -141,7 +156,7 @@ def items_freight_kruskal(m: Market) -> DataFrame:
 
 
 def category_kruskal(m: Market) -> DataFrame:
-    return tests.kruskal(category_reviews(m), "review_score", "product_category")
+    return tests.kruskal(category_score_counts(m), "review_score", "product_category", F.sum("orders"))
 
 
 def value_time_describe(m: Market) -> DataFrame:
@@ -179,9 +194,19 @@ def freight_by_items(m: Market) -> DataFrame:
 
 
 def category_review_summary(m: Market) -> DataFrame:
+    counts = category_score_counts(m)
+    orders, score = F.col("orders"), F.col("review_score")
+    groups = counts.groupBy("product_category").agg(
+        F.sum(orders).alias("reviews_count"),
+        per(F.sum(score * orders), F.sum(orders)).alias("average_review_score"),
+        per(F.sum(F.when(score <= 2, orders).otherwise(0)), F.sum(orders)).alias("low_score_share"),
+    )
+    middle = quantiles(
+        counts, ["product_category"], "review_score", {"median_review_score": 0.5}, count=F.sum("orders")
+    )
     return (
-        _score_groups(category_reviews(m), "product_category", "reviews_count")
-        .drop("standard_deviation")
+        groups.join(middle, "product_category")
+        .withColumn("low_score_share_percent", F.col("low_score_share") * 100)
         .orderBy("average_review_score", "product_category")
     )
 
@@ -193,7 +218,8 @@ def as_metrics(one_row: DataFrame, labels: dict[str, str]) -> DataFrame:
 
 
 def _delay_tests(m: Market) -> DataFrame:
-    reviews = delay_reviews(m)
+    # three statistics over the same rows: the two columns are written once
+    reviews = written(delay_reviews(m).select("review_score", "is_delayed"), "delay_reviews")
     ranks = tests.mann_whitney(reviews, "review_score", F.col("is_delayed"), "less")
     effect = tests.cohens_d(reviews, "review_score", F.col("is_delayed"))
     base = tests.with_t_p(tests.welch(reviews, "review_score", F.col("is_delayed")), "less", "welch_p")
@@ -258,7 +284,11 @@ def category_test_summary(m: Market) -> DataFrame:
 
 
 def hypothesis_table(m: Market, alpha: float = ALPHA) -> DataFrame:
-    """All hypotheses with the weaker of their p-values, effect size, label and verdict."""
+    """All hypotheses with the weaker of their p-values, effect size, label and verdict.
+
+    Four questions to the same fact table: it is written once and read four times.
+    """
+    m = m.with_written_metrics()
 
     def line(order: int, hypothesis: str, method: str, measure: str, result: DataFrame, p: Column, effect: str):
         return result.select(

@@ -35,9 +35,10 @@ def register_views(m: Market) -> list[str]:
 
 
 def export_mart(df: DataFrame, folder: str, name: str) -> None:
-    """One headed CSV part (marts are small aggregates) with a typed Parquet copy beside it."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder}/{name}.csv")
+    """A typed Parquet copy, then one headed CSV part made from it (marts are small aggregates)."""
     df.write.mode("overwrite").parquet(f"{folder}/{name}")
+    stored = read_mart(df.sparkSession, folder, name)
+    stored.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder}/{name}.csv")
 
 
 def export_marts(m: Market, folder: str, names: Iterable[str] = MARTS) -> list[str]:
