@@ -45,6 +45,11 @@ def missing_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     return counts.unpivot([], names, "variable", "missing_count")
 
 
+def shape(df: DataFrame) -> DataFrame:
+    """Row and column count."""
+    return df.agg(F.count(F.lit(1)).alias("rows_count")).withColumn("columns_count", F.lit(len(df.columns)))
+
+
 def with_share(df: DataFrame, count: str, name: str, within: Sequence[str] = ()) -> DataFrame:
     """Percent of the total (or of the group's total); meant for small, already grouped frames."""
     return df.withColumn(name, per(F.col(count), F.sum(count).over(Window.partitionBy(*within))) * 100)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from mercato.oracles.base import avg, avg_days, div, money, pct, quant, r6, rnd, share, sql
+from mercato.oracles.base import avg, avg_days, div, money, quant, r6, rnd, share, sql
 from mercato.oracles.marts import CUSTOMER_MONTHS, MONTH_GAP, SEGMENT, customer_frame
 
 FIRST, LAST = "DATE '1995-02-01'", "DATE '2001-07-01'"
@@ -41,9 +41,6 @@ def hist(source: str, column: str) -> str:
     return sql(body, **extra)
 
 
-SHARE_OF_ALL = "{n} / SUM({n}) OVER () * 100"
-
-
 def part(n: str, over: str = "") -> str:
     return f"{div(n, f'SUM({n}) OVER ({over})')} * 100"
 
@@ -285,6 +282,7 @@ ORACLES = {
             for c in ["customer_unique_id", *MEASURES, "last_purchase_date"]
         )
     ),
+    "f2_value_shape": sql(f"SELECT COUNT(*) AS rows_count, 5 AS columns_count FROM {RFM}"),
     "f2_recency_histogram": hist(RFM, "recency"),
     "f2_monetary_histogram": hist(RFM, "monetary"),
     "f3_frequency_distribution": sql(DISTRIBUTION.format(k="frequency", s=r6(part("n")), t=RFM)),

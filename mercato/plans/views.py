@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions.numbers import days_between, hours_between, month_of, per, rounded
 from mercato.functions.order_stats import quantiles
+from mercato.functions.profile import melted
 
 if TYPE_CHECKING:
     from mercato.market import Market
@@ -49,13 +50,19 @@ def geolocation(m: Market) -> DataFrame:
         "zip_code_prefix", F.col("geolocation_city").alias("city"), F.col("geolocation_state").alias("state")
     ).agg((-F.count(F.lit(1))).alias("rarity"))
     places = place_counts.groupBy("zip_code_prefix").agg(F.min(F.struct("rarity", "city", "state")).alias("top"))
-    half = {"median": 0.5}
-    latitude = quantiles(points, ["zip_code_prefix"], "geolocation_lat", half, unit=1e-4)
-    longitude = quantiles(points, ["zip_code_prefix"], "geolocation_lng", half, unit=1e-4)
-    return (
-        places.join(latitude.withColumnRenamed("median", "latitude"), "zip_code_prefix", "left")
-        .join(longitude.withColumnRenamed("median", "longitude"), "zip_code_prefix", "left")
-        .select("zip_code_prefix", "latitude", "longitude", "top.city", "top.state")
+    axes = {"geolocation_lat": "latitude", "geolocation_lng": "longitude"}
+    medians = quantiles(
+        melted(points, list(axes), ["zip_code_prefix"]),
+        ["zip_code_prefix", "variable"],
+        "value",
+        {"median": 0.5},
+        unit=1e-4,
+    )
+    centres = medians.groupBy("zip_code_prefix").agg(
+        *[F.max(F.when(F.col("variable") == axis, F.col("median"))).alias(name) for axis, name in axes.items()]
+    )
+    return places.join(centres, "zip_code_prefix", "left").select(
+        "zip_code_prefix", "latitude", "longitude", "top.city", "top.state"
     )
 
 

@@ -163,6 +163,7 @@ def all_queries() -> dict[str, Query]:
         "f1_customer_values": rfm.customer_values,
         "f2_value_profile": rfm.value_profile,
         "f2_value_missing": rfm.value_missing,
+        "f2_value_shape": rfm.value_shape,
         "f2_recency_histogram": lambda m: rfm.value_histogram(m, "recency"),
         "f2_monetary_histogram": lambda m: rfm.value_histogram(m, "monetary"),
         "f3_frequency_distribution": rfm.frequency_distribution,

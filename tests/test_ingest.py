@@ -100,5 +100,18 @@ def test_views_answer_sql(spark, star):
     assert spark.sql("SELECT COUNT(*) FROM order_metrics").first()[0] == star.raw("orders").count()
 
 
-def test_scratch_needs_a_shared_folder_only_on_a_cluster(spark):
-    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+class _Cluster:
+    """The two things scratch_path looks at, as a cluster session would answer them."""
+
+    def __init__(self, folder, master):
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.sparkContext = type("Context", (), {"master": master})
+
+
+def test_scratch_needs_a_shared_folder_only_on_a_cluster():
+    shared = _Cluster("hdfs:///shared/", "yarn")
+    assert scratch_path(shared, "x").startswith("hdfs:///shared/mercato/x-")
+    assert scratch_path(shared, "x") != scratch_path(shared, "x")
+    assert scratch_path(_Cluster(None, "local[2]"), "x")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(_Cluster(None, "yarn"), "x")

@@ -7,7 +7,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from mercato.operators import cohort, marts, product
+from mercato.market import Market
+from mercato.operators import cohort, eda, marts, product
+from mercato.schema import RAW_TABLES
 
 
 def plan(df) -> str:
@@ -26,13 +28,24 @@ def test_marts_have_no_cross_join_and_no_python(star, mart):
 
 @pytest.mark.parametrize(
     "query",
-    [marts.monthly_metrics, marts.category_metrics, marts.customer_metrics, product.overall_metrics, cohort.cohort_counts],
+    [
+        marts.monthly_metrics,
+        marts.delivery_metrics,
+        marts.category_metrics,
+        marts.customer_metrics,
+        product.overall_metrics,
+        cohort.cohort_counts,
+        eda.status_shares,
+        eda.order_value_limit,
+    ],
     ids=lambda f: f.__name__,
 )
-def test_no_single_task_window_over_rows(star, query):
-    """Windows without partition keys may only run over already grouped rows."""
-    for line in plan(query(star)).splitlines():
-        assert not re.search(r"Exchange SinglePartition.*\n.*Window", line)
+def test_only_grouped_rows_meet_in_one_partition(star, query):
+    """Whatever is sent to a single partition has been aggregated just before."""
+    lines = plan(query(star)).splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            assert any("HashAggregate" in below for below in lines[i + 1 : i + 4]), "\n".join(lines[i : i + 4])
 
 
 def test_unused_children_are_not_computed(star):
@@ -41,11 +54,26 @@ def test_unused_children_are_not_computed(star):
     assert "lineitem" not in text  # no item, payment or review table is read for a plain count
 
 
-def test_columns_and_filters_reach_the_scan(star):
+def test_columns_reach_the_scan(star):
     text = plan(marts.state_metrics(star))
     scans = re.findall(r"FileScan parquet .*?ReadSchema: struct<(.*?)>", text)
-    assert scans and not any("l_discount" in s or "o_totalprice" in s or "c_name" in s for s in scans)
-    assert "EqualTo(o_orderstatus,F)" in text or "o_orderstatus" in text
+    assert scans
+    for unused in ("l_discount", "l_linestatus", "o_totalprice", "c_name", "c_acctbal"):
+        assert not any(unused in columns for columns in scans)
+
+
+def test_status_filter_is_pushed_into_stored_tables(spark, star, tmp_path):
+    for name in RAW_TABLES:
+        star.raw(name).write.parquet(f"{tmp_path}/{name}")
+    stored = Market.from_parquet(spark, str(tmp_path))
+    text = plan(marts.state_metrics(stored))
+    assert "EqualTo(order_status,delivered)" in text
+    assert "payment_value" not in text and "review_comment_message" not in text
+
+
+def test_a_hot_order_is_found_by_a_bounded_broadcast(star):
+    text = plan(star.raw("order_items"))
+    assert "BroadcastHashJoin" in text and "CartesianProduct" not in text
 
 
 def test_first_two_reviews_are_limited_before_the_shuffle(star):
