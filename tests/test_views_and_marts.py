@@ -162,3 +162,26 @@ def test_view_invariants_on_the_star_data(star):
     segments = marts.rfm_segments(star).collect()
     assert sum(r.customers_count for r in segments) == marts.executive_metrics(star).first().unique_customers
     assert sum(r.customer_share_percent for r in segments) == pytest.approx(100, abs=0.05)
+
+
+def test_segments_cover_all_score_triples(spark):
+    from itertools import product as triples
+
+    from pyspark.sql import functions as F
+
+    def expected(r, f, m):  # the rules in words, first match wins
+        if r == 4 and f >= 3 and m >= 3:
+            return "Champions"
+        if min(r - 1, f, m) >= 2:
+            return "Loyal Customers"
+        if (r, f) == (4, 1):
+            return "New Customers"
+        if min(r, m) >= 3:
+            return "High-Value Recent"
+        if r <= 2 and f >= 2:
+            return "At Risk"
+        return "Lost Customers" if (r, f) == (1, 1) else "Regular Customers"
+
+    scores = spark.createDataFrame(list(triples(range(1, 5), repeat=3)), "r int, f int, m int")
+    for row in scores.withColumn("segment", rfm.segment_of(F.col("r"), F.col("f"), F.col("m"))).collect():
+        assert row.segment == expected(row.r, row.f, row.m), row
