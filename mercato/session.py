@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from contextlib import suppress
 from uuid import uuid4
 
@@ -31,12 +30,8 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the cluster's shared ``spark.checkpoint.dir``."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="mercato-")
+    """A fresh path in the folder that the cluster shares: ``spark.checkpoint.dir``, else the SQL warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/mercato/{label}-{uuid4().hex}"
 
 
