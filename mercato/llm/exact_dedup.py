@@ -103,13 +103,16 @@ def _stays() -> Column:
 def exact_duplicates(docs: DataFrame, capacity: int = CAPACITY, key_bits: int = KEY_BITS) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256, bucket: one row per row of ``docs``."""
     index = build_index(docs, capacity, key_bits)
-    rows = _keyed(docs.select("doc_id", "text"), key_bits).select("doc_id", "__key", "__sha", "__length")
+    # rows that tie in everything are numbered before the join, which then may deal a large group out
     same = Window.partitionBy("__key", "__sha", "doc_id", "__length").orderBy("doc_id")
+    rows = _keyed(docs.select("doc_id", "text"), key_bits).select(
+        "doc_id", "__key", "__sha", "__length", (F.row_number().over(same) == 1).alias("__first")
+    )
     return rows.join(index, ["__key", "__sha"]).select(
         "doc_id",
         "keep_id",
         "group_size",
-        (_stays() & (F.row_number().over(same) == 1)).alias("kept"),
+        (_stays() & F.col("__first")).alias("kept"),
         F.lower(F.hex("__sha")).alias("text_sha256"),
         F.concat_ws(":", "bucket.depth", "bucket.prefix").alias("bucket"),
     )
@@ -117,6 +120,9 @@ def exact_duplicates(docs: DataFrame, capacity: int = CAPACITY, key_bits: int =
 
 def deduplicated(docs: DataFrame, capacity: int = CAPACITY, key_bits: int = KEY_BITS) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    index = build_index(docs, capacity, key_bits).select("__key", "__sha", "keep_id", "keep_length")
-    rows = _keyed(docs, key_bits).drop("__plain").join(index, ["__key", "__sha"]).filter(_stays())
-    return rows.dropDuplicates(["__key", "__sha"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    index = build_index(docs, capacity, key_bits)
+    # the id as a struct: a null id equals a null id
+    kept = index.select("__key", "__sha", F.struct(F.col("keep_id").alias("id")).alias("__id"), F.col("keep_length").alias("__length"))
+    rows = _keyed(docs, key_bits).drop("__plain").withColumn("__id", F.struct(F.col("doc_id").alias("id")))
+    keys = ["__key", "__sha", "__id", "__length"]
+    return rows.join(kept, keys).dropDuplicates(keys).select(*[F.col(f"`{c}`") for c in docs.columns])
