@@ -63,10 +63,10 @@ def least_shared(count: Column) -> Column:
     return 1 + F.floor(count * (EXTRA * PERCENT) / 10_000)
 
 
-def sketches(docs: DataFrame, with_prefix: bool) -> DataFrame:
-    """doc_id, n_shingles, digest of the set (null if empty), and the prefix if wanted."""
+def sketches(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, digest of the set (null if empty), prefix: one row per row of ``docs``, written."""
     plain = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    names = ["doc_id", "n_shingles", "digest"] + ["prefix"] * with_prefix
+    names = ["doc_id", "n_shingles", "digest", "prefix"]
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -76,27 +76,22 @@ def sketches(docs: DataFrame, with_prefix: bool) -> DataFrame:
                 own = distinct_shingles(text, hashes)
                 sizes.append(len(own))
                 digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
-                if with_prefix:
-                    # 48 bits tell prefix hashes apart; a collision only adds a candidate
-                    prefixes.append((own[: prefix_size(len(own))] >> np.uint64(16)).astype(np.int64))
-            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())]
-            if with_prefix:
-                ends = np.cumsum([0, *map(len, prefixes)])
-                flat = np.concatenate([*prefixes, np.zeros(0, np.int64)])
-                columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)))
+                # 48 bits tell prefix hashes apart; a collision only adds a candidate
+                prefixes.append((own[: prefix_size(len(own))] >> np.uint64(16)).astype(np.int64))
+            ends = pa.array(np.cumsum([0, *map(len, prefixes)]), pa.int32())
+            prefix = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([*prefixes, np.zeros(0, np.int64)])))
+            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), prefix]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    prefix = ", prefix array<bigint>" if with_prefix else ""
-    return plain.mapInArrow(sketch, f"doc_id bigint, n_shingles bigint, digest binary{prefix}")
+    schema = "doc_id bigint, n_shingles bigint, digest binary, prefix array<bigint>"
+    return written(plain.mapInArrow(sketch, schema), "jaccard-sketches")
 
 
-def candidate_groups(docs: DataFrame) -> DataFrame:
-    """class, size, group: the classes that may have links, and which of them may be connected."""
-    shown = sketches(docs.filter("doc_id IS NOT NULL"), True).filter("digest IS NOT NULL")
-    classes = shown.groupBy("digest").agg(
+def candidate_groups(shown: DataFrame) -> DataFrame:
+    """From sketches: class, size, group: the classes that may have links, and which of them may be connected."""
+    classes = shown.filter("doc_id IS NOT NULL AND digest IS NOT NULL").groupBy("digest").agg(
         F.min("doc_id").alias("class"), F.first("n_shingles").alias("size"), F.first("prefix").alias("prefix")
     )
-    # both uses of the postings read the one shuffle of the classes
     postings = classes.select("class", "size", F.explode("prefix").alias("token"))
     common = postings.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("token")
     shared = written(postings.join(common, "token"), "jaccard-shared")
@@ -205,9 +200,9 @@ def spanning_links(names: np.ndarray, sides: np.ndarray, sets: list[np.ndarray])
     return links
 
 
-def links(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """a, b: links between classes that connect all classes connected by links."""
-    places = tasks_of(candidate_groups(docs), block)
+def links(docs: DataFrame, shown: DataFrame, block: int = BLOCK) -> DataFrame:
+    """From documents and their sketches: a, b: links between classes that connect all classes connected by links."""
+    places = tasks_of(candidate_groups(shown), block)
     asked = places.groupBy("class").agg(F.collect_list(F.struct("task", "side")).alias("places"))
     text = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     rows = text.join(asked, text["doc_id"] == asked["class"]).select("class", "text", "places")
@@ -233,8 +228,9 @@ def links(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def linked_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per row of ``docs``."""
-    connected = components(links(docs, block)).withColumnRenamed("node", "class")
-    rows = sketches(docs, False)
+    shown = sketches(docs)
+    connected = components(links(docs, shown, block)).withColumnRenamed("node", "class")
+    rows = shown.drop("prefix")
     classes = rows.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("class"))
     named = classes.join(connected, "class", "left").select("digest", F.coalesce("component", "class").alias("component_id"))
     joined = rows.join(named, "digest", "left")
