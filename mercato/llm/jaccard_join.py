@@ -94,10 +94,11 @@ def candidate_groups(shown: DataFrame) -> DataFrame:
     )
     postings = classes.select("class", "size", F.explode("prefix").alias("token"))
     common = postings.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("token")
+    common = written(common, "jaccard-common")  # a join of two plain shuffles: a hot token can be dealt out
     shared = written(postings.join(common, "token"), "jaccard-shared")
     enough = shared.groupBy("class", "size").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_shared(F.col("size")))
     left = written(shared.join(enough.select("class"), "class"), "jaccard-left")
-    centre = left.groupBy("token").agg(F.min("class").alias("b")).select("token", "b")
+    centre = written(left.groupBy("token").agg(F.min("class").alias("b")), "jaccard-centre")
     edges = left.join(centre, "token").select(F.col("class").alias("a"), "b")
     groups = components(edges).select(F.col("node").alias("class"), F.col("component").alias("group"))
     return written(groups.join(enough.select("class", "size"), "class"), "jaccard-groups")

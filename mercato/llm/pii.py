@@ -177,7 +177,7 @@ def disclosures(docs: DataFrame, found: DataFrame, window: int = WINDOW, thresho
     met = near.select("entity", "context", forms.alias("form")).groupBy("entity", "form")
     pairs = met.agg(F.count(F.lit(1)).alias("n_both"), F.min("context").alias("one"), F.max("context").alias("other"))
     pairs = written(pairs.filter("one <> other").select("entity", "form", "n_both"), "pii-pairs")
-    counts = word_counts(docs, pairs.select("form").distinct())
+    counts = written(word_counts(docs, pairs.select("form").distinct()), "pii-counts")
     units = max(1.0, (found.agg(F.sum("words")).first()[0] or 0) / (2 * window + 1))
     lost = F.log(F.greatest("n", "n_both") / F.col("n_both"))
     information = F.log(F.greatest(F.lit(units) / F.col("n_entity"), F.lit(1.0 + 1e-9)))
