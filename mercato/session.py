@@ -40,4 +40,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     and a lost executor costs a re-read, not a recomputation."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that no plan reads any more."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.written_to)
+        path.getFileSystem(table.sparkSession._jsc.sc().hadoopConfiguration()).delete(path, True)
