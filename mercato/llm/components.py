@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.session import written
+from mercato.session import discard, written
 
 
 #: No more nodes than this have over 1 / HUBS of all edge ends; those are broadcast, the others meet in a join.
@@ -46,8 +46,10 @@ def components(edges: DataFrame) -> DataFrame:
     edges = written(edges.select("a", "b").filter("a <> b").distinct(), "edges")
     leaves = edges.count()
     while True:
-        edges = written(_large_star(edges, leaves), "edges")
-        edges = written(_small_star(edges, edges.count()), "edges")
+        large = written(_large_star(edges, leaves), "edges")
+        small = written(_small_star(large, large.count()), "edges")
+        discard(edges, large)
+        edges = small
         leaves, distinct = edges.agg(F.count("a"), F.count_distinct("a")).first()
         roots = edges.select(F.col("b").alias("a")).distinct()
         if leaves == distinct and edges.join(roots, "a", "left_semi").isEmpty():

@@ -19,7 +19,7 @@ from math import ceil, log2
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.session import written
+from mercato.session import discard, written
 
 #: Entries that a bucket holds before it splits.
 CAPACITY = 4096
@@ -93,7 +93,9 @@ def build_index(docs: DataFrame, capacity: int = CAPACITY, key_bits: int = KEY_B
     entries = written(_entries(docs, key_bits), "dedup-entries")
     slots, depth = directory(entries, capacity, key_bits)
     placed = entries.withColumn("slot", _prefix(F.col("__key"), depth)).join(slots, "slot").drop("slot")
-    return written(placed.repartitionByRange("__key").sortWithinPartitions("__key", "chain"), "dedup-index")
+    index = written(placed.repartitionByRange("__key").sortWithinPartitions("__key", "chain"), "dedup-index")
+    discard(entries)
+    return index
 
 
 def _stays() -> Column:

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from mercato.llm.components import components
 from mercato.llm.words import WordHashes, shingles
-from mercato.session import written
+from mercato.session import discard, written
 
 WIDTH = 5
 #: Links need 100 * intersection >= PERCENT * union.
@@ -101,7 +101,9 @@ def candidate_groups(shown: DataFrame) -> DataFrame:
     centre = written(left.groupBy("token").agg(F.min("class").alias("b")), "jaccard-centre")
     edges = left.join(centre, "token").select(F.col("class").alias("a"), "b")
     groups = components(edges).select(F.col("node").alias("class"), F.col("component").alias("group"))
-    return written(groups.join(enough.select("class", "size"), "class"), "jaccard-groups")
+    found = written(groups.join(enough.select("class", "size"), "class"), "jaccard-groups")
+    discard(common, shared, left, centre)
+    return found
 
 
 def _band(size: Column) -> Column:
