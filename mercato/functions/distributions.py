@@ -30,8 +30,8 @@ def _fraction(term, limit: int = 10_000) -> float:
         c = (b + a / c) or tiny
         value *= c * d
         if abs(c * d - 1.0) < 1e-15:
-            break
-    return value
+            return value
+    raise ArithmeticError("the continued fraction does not converge")
 
 
 def chi2_sf(x: float, df: float) -> float:
@@ -51,11 +51,24 @@ def chi2_sf(x: float, df: float) -> float:
     return front / _fraction(lambda i: (1.0, half + 1 - a) if i == 0 else (-i * (i - a), half + 2 * i + 1 - a))
 
 
-def _beta_cdf(x: float, a: float, b: float) -> float:
-    if x <= 0 or x >= 1:
+def _log_gamma_ratio(a: float, b: float) -> float:
+    """log(gamma(a + b) / gamma(a)) from the differences of Stirling's terms, so no digits cancel at large a."""
+    steps = max(0, math.ceil(16 - a))
+    shifted = sum(math.log((a + i) / (a + b + i)) for i in range(steps))
+    a += steps
+
+    def rest(z: float) -> float:
+        return 1 / (12 * z) - 1 / (360 * z**3) + 1 / (1260 * z**5) - 1 / (1680 * z**7)
+
+    return shifted + (a - 0.5) * math.log1p(b / a) + b * math.log(a + b) - b + rest(a + b) - rest(a)
+
+
+def _beta_cdf(x: float, y: float, a: float, b: float) -> float:
+    """Regularised incomplete beta function at x, with y = 1 - x given in full precision."""
+    if x <= 0 or y <= 0:
         return 0.0 if x <= 0 else 1.0
     if x > (a + 1) / (a + b + 2):
-        return 1.0 - _beta_cdf(1 - x, b, a)
+        return 1.0 - _beta_cdf(y, x, b, a)
 
     def term(i: int) -> tuple[float, float]:
         if i == 0:
@@ -65,13 +78,16 @@ def _beta_cdf(x: float, a: float, b: float) -> float:
             return -(a + k) * (a + b + k) * x / ((a + 2 * k) * (a + 2 * k + 1)), 1.0
         return k * (b - k) * x / ((a + 2 * k - 1) * (a + 2 * k)), 1.0
 
-    log_front = a * math.log(x) + b * math.log1p(-x) + math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
+    log_x = math.log(x) if x < y else math.log1p(-y)
+    log_y = math.log(y) if y < x else math.log1p(-x)
+    large, small = max(a, b), min(a, b)
+    log_front = a * log_x + b * log_y + _log_gamma_ratio(large, small) - math.lgamma(small)
     return math.exp(log_front) / a / _fraction(term)
 
 
 def t_sf(t: float, df: float) -> float:
     """Upper tail of Student's t."""
-    tail = 0.5 * _beta_cdf(df / (df + t * t), df / 2.0, 0.5)
+    tail = 0.5 * _beta_cdf(df / (df + t * t), t * t / (df + t * t), df / 2.0, 0.5)
     return tail if t >= 0 else 1.0 - tail
 
 

@@ -41,7 +41,8 @@ def curve(df: DataFrame, by: Sequence[str] = (), unit: float = 1e-6) -> DataFram
 
 def areas(df: DataFrame, by: Sequence[str] = (), unit: float = 1e-6) -> DataFrame:
     """ROC area (trapezoids) and average precision, the step sum of recall gains times precision."""
-    strip = (_c("n") - _c("pos")) * (_c("tp") * 2 - _c("pos")) / 2
+    # as doubles: the product of two counts leaves the range of BIGINT
+    strip = (_c("n") - _c("pos")).cast("double") * (_c("tp") * 2 - _c("pos")).cast("double") / 2
     return (
         curve(df, by, unit)
         .groupBy(*by)

@@ -59,6 +59,13 @@ def _matrix(m: Market, months: Months | None, indexes: Sequence[int], value: str
     return _rates(m, months).groupBy("cohort_month").pivot("cohort_index", list(indexes)).agg(F.first(value))
 
 
+def complete_months(m: Market) -> Months:
+    """First and last month between the months of the first and the last purchase, which are partial (two scalars)."""
+    bought = F.trunc("order_purchase_timestamp", "month")
+    first, last = F.add_months(F.min(bought), 1), F.add_months(F.max(bought), -1)
+    return tuple(m.raw("orders").agg(first, last).first())
+
+
 def last_index(m: Market) -> int:
     """Largest possible cohort index: months between first and last completed purchase (one scalar)."""
     span = m.raw("orders").where("order_status = 'delivered'").agg(

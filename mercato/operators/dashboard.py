@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.market import Market
-from mercato.operators import marts
+from mercato.operators import cohort, marts
 
 TOP = 10
 
@@ -97,16 +97,20 @@ def top_states(m: Market, measure: str, size: int = TOP, at_least: int = 0) -> D
     return _top(marts.state_metrics(m), measure, "customer_state", size, at_least)
 
 
-START = date(1995, 2, 1)  # first complete month of the test data
+def since(m: Market) -> date:
+    """First complete month of the data."""
+    return cohort.complete_months(m)[0]
+
+
 MIN_ORDERS = 100
 
 PAGES: dict[str, Callable[[Market], DataFrame]] = {
     "m9_executive_cards": executive_cards,
-    "m9_monthly_rollup": lambda m: monthly_rollup(m, START),
-    "m9_customer_rollup": lambda m: customer_rollup(m, START),
+    "m9_monthly_rollup": lambda m: monthly_rollup(m, since(m)),
+    "m9_customer_rollup": lambda m: customer_rollup(m, since(m)),
     "m9_retention_by_index": retention_by_index,
     "m9_segment_rollup": segment_rollup,
-    "m9_delivery_by_status": lambda m: delivery_by_status(m, START),
+    "m9_delivery_by_status": lambda m: delivery_by_status(m, since(m)),
     "m9_top_categories_by_sales": lambda m: top_categories(m, "products_value"),
     "m9_top_categories_by_orders": lambda m: top_categories(m, "delivered_orders"),
     "m9_top_rated_categories": lambda m: top_categories(m, "average_review_score", at_least=MIN_ORDERS),

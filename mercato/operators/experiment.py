@@ -57,8 +57,10 @@ def repeat_purchases(m: Market, days: int = WINDOW_DAYS) -> DataFrame:
 
 
 def experiment_frame(m: Market) -> DataFrame:
-    """The evaluation table with users assigned by the parity of their id."""
-    group = F.when(F.col("customer_unique_id") % 2 == 0, CONTROL).otherwise(TREATMENT)
+    """The evaluation table with users assigned by the parity of a hash of their id, numeric or text."""
+    digest = F.md5(F.col("customer_unique_id").cast("string").cast("binary"))
+    parity = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 2
+    group = F.when(parity == 0, CONTROL).otherwise(TREATMENT)
     return repeat_purchases(m).select(
         F.col("customer_unique_id").alias("user"),
         group.alias("group"),

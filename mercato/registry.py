@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,11 +37,6 @@ def portable(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*[cast(field) for field in df.schema.fields])
 
 
-# complete months of the test data: both boundary months are partial
-MONTHS = (date(1995, 2, 1), date(2001, 7, 1))
-LAST_INDEX = 78  # months between the first and the last purchase
-
-
 # the test data has numeric ids where the file contract has text
 NUMERIC_IDS = {
     name: T.LongType()
@@ -143,23 +137,23 @@ def all_queries() -> dict[str, Query]:
         "e16_orders_by_state": eda.orders_by_state,
         "e16_top_states": lambda m: eda.orders_by_state(m, 10),
         "p1_overall_metrics": product.overall_metrics,
-        "p2_monthly_product_metrics": lambda m: product.monthly_product_metrics(m, MONTHS),
+        "p2_monthly_product_metrics": lambda m: product.monthly_product_metrics(m, cohort.complete_months(m)),
         "p3_customer_orders": product.customer_orders,
         "p3_customer_orders_describe": product.customer_orders_describe,
         "p4_repeat_customer_share": product.repeat_customer_share,
         "p5_order_frequency_groups": product.order_frequency_groups,
-        "p6_monthly_customers": lambda m: product.monthly_customers(m, MONTHS),
-        "p7_customer_types": lambda m: product.customer_types(m, MONTHS),
-        "p7_repeat_share_by_month": lambda m: product.repeat_share_by_month(m, MONTHS),
-        "p8_items_per_order": lambda m: product.items_per_order_by_month(m, MONTHS),
+        "p6_monthly_customers": lambda m: product.monthly_customers(m, cohort.complete_months(m)),
+        "p7_customer_types": lambda m: product.customer_types(m, cohort.complete_months(m)),
+        "p7_repeat_share_by_month": lambda m: product.repeat_share_by_month(m, cohort.complete_months(m)),
+        "p8_items_per_order": lambda m: product.items_per_order_by_month(m, cohort.complete_months(m)),
         "c1_customer_activity": cohort.customer_activity,
-        "c2_cohort_sizes": lambda m: cohort.cohort_sizes(m, MONTHS),
+        "c2_cohort_sizes": lambda m: cohort.cohort_sizes(m, cohort.complete_months(m)),
         "c3_cohort_counts": cohort.cohort_counts,
-        "c3_retention_counts": lambda m: cohort.retention_counts(m, MONTHS, LAST_INDEX),
-        "c3_retention_matrix": lambda m: cohort.retention_matrix(m, MONTHS, LAST_INDEX),
-        "c4_horizon_comparison": lambda m: cohort.horizon_comparison(m, MONTHS),
-        "c5_horizon_long": lambda m: cohort.horizon_long(m, MONTHS),
-        "c6_retention_summary": lambda m: cohort.retention_summary(m, MONTHS),
+        "c3_retention_counts": lambda m: cohort.retention_counts(m, cohort.complete_months(m)),
+        "c3_retention_matrix": lambda m: cohort.retention_matrix(m, cohort.complete_months(m)),
+        "c4_horizon_comparison": lambda m: cohort.horizon_comparison(m, cohort.complete_months(m)),
+        "c5_horizon_long": lambda m: cohort.horizon_long(m, cohort.complete_months(m)),
+        "c6_retention_summary": lambda m: cohort.retention_summary(m, cohort.complete_months(m)),
         "f1_customer_values": rfm.customer_values,
         "f2_value_profile": rfm.value_profile,
         "f2_value_missing": rfm.value_missing,

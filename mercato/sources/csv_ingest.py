@@ -37,19 +37,25 @@ def read_strings(spark: SparkSession, path: str, spec: TableSpec, table: str) ->
     return spark.read.options(**options, enforceSchema=False).schema(text).csv(path)
 
 
+#: A whole date, with or without a time of day, never with a zone.
+DATE_TIME = r"^\s*\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?\s*$"
+
+
 def _present(column: Column) -> Column:
     return F.when(~column.isin(MISSING_TOKENS) & ~column.rlike(r"^\s*$"), column)
 
 
 def _parsed(column: Column, target: T.DataType) -> Column:
     if isinstance(target, T.TimestampNTZType):
-        return column.try_cast("timestamp_ntz")
+        return F.when(column.rlike(DATE_TIME), column.try_cast("timestamp_ntz"))
     if isinstance(target, T.LongType):
         return column.try_cast("bigint")
     if isinstance(target, T.IntegerType):
-        return column.try_cast("double").try_cast("int")  # integer columns with gaps arrive as '7.0'
+        number = column.try_cast("double")  # integer columns with gaps arrive as '7.0'
+        return F.when(number == F.floor(number), number.try_cast("int"))
     if isinstance(target, T.DecimalType):
-        return column.try_cast(target.simpleString())
+        value = column.try_cast(target.simpleString())  # which rounds: further digits are an error
+        return F.when(column.try_cast("decimal(38,18)") == value, value)
     return column
 
 

@@ -169,18 +169,20 @@ def test_segments_cover_all_score_triples(spark):
 
     from pyspark.sql import functions as F
 
-    def expected(r, f, m):  # the rules in words, first match wins
+    def expected(r, f, m):  # fixed values: the first match counts
         if r == 4 and f >= 3 and m >= 3:
             return "Champions"
-        if min(r - 1, f, m) >= 2:
+        if r >= 3 and f >= 2 and m >= 2:
             return "Loyal Customers"
-        if (r, f) == (4, 1):
+        if r == 4 and f == 1:
             return "New Customers"
-        if min(r, m) >= 3:
+        if r >= 3 and m >= 3:
             return "High-Value Recent"
         if r <= 2 and f >= 2:
             return "At Risk"
-        return "Lost Customers" if (r, f) == (1, 1) else "Regular Customers"
+        if r == 1 and f == 1:
+            return "Lost Customers"
+        return "Regular Customers"
 
     scores = spark.createDataFrame(list(triples(range(1, 5), repeat=3)), "r int, f int, m int")
     for row in scores.withColumn("segment", rfm.segment_of(F.col("r"), F.col("f"), F.col("m"))).collect():
