@@ -85,9 +85,26 @@ def _beta_cdf(x: float, y: float, a: float, b: float) -> float:
     return math.exp(log_front) / a / _fraction(term)
 
 
+def _beta_series(x: float, a: float, b: float) -> float:
+    """The same function as a sum of positive terms, which loses no digits for small x and large b."""
+    term = total = 1.0 / a
+    n = 0
+    while term > total * 1e-17:
+        term *= x * (a + b + n) / (a + 1 + n)
+        total += term
+        n += 1
+    return math.exp(a * math.log(x) + b * math.log1p(-x) + _log_gamma_ratio(b, a) - math.lgamma(a)) * total
+
+
 def t_sf(t: float, df: float) -> float:
     """Upper tail of Student's t."""
-    tail = 0.5 * _beta_cdf(df / (df + t * t), t * t / (df + t * t), df / 2.0, 0.5)
+    square = t * t
+    if square > df:
+        tail = 0.5 * _beta_cdf(df / (df + square), square / (df + square), df / 2.0, 0.5)
+    elif square > 1400:  # (1 + t^2 / df) ^ (-df / 2) is below 1e-200 here
+        tail = 0.0
+    else:
+        tail = 0.5 * (1.0 - _beta_series(square / (df + square), 0.5, df / 2.0)) if square else 0.5
     return tail if t >= 0 else 1.0 - tail
 
 

@@ -130,3 +130,29 @@ def test_zero_conversions_give_no_number(spark):
     tested = tests.proportions(F.lit(0), F.lit(10), F.lit(0), F.lit(12))
     row = one.select(*[c.alias(n) for n, c in tested.items()]).first()
     assert row.difference == 0 and row.z is None
+
+
+def test_t_tail_keeps_its_digits_at_large_samples():
+    from mercato.functions.distributions import normal_sf, t_sf
+
+    for df in (1e9, 1e10, 1e11):
+        for t in (0.01, 0.5, 2.0):
+            assert abs(t_sf(t, df) - normal_sf(t)) < 1e-9
+    assert abs(t_sf(2.0, 5.0) - 0.05096973941492917) < 1e-12
+    assert abs(t_sf(1.0, 1.0) - 0.25) < 1e-12
+
+
+def test_groups_by_text_ids(spark):
+    from types import SimpleNamespace
+
+    import mercato.operators.experiment as experiment
+
+    rows = [(f"{i:032x}", True, False, 1.0) for i in range(200)]
+    frame = spark.createDataFrame(rows, "customer_unique_id string, converted boolean, canceled boolean, value double")
+    original = experiment.repeat_purchases
+    experiment.repeat_purchases = lambda m: frame
+    try:
+        groups = {r.group for r in experiment.experiment_frame(SimpleNamespace()).collect()}
+    finally:
+        experiment.repeat_purchases = original
+    assert groups == {experiment.CONTROL, experiment.TREATMENT}

@@ -100,18 +100,33 @@ def test_views_answer_sql(spark, star):
     assert spark.sql("SELECT COUNT(*) FROM order_metrics").first()[0] == star.raw("orders").count()
 
 
-class _Cluster:
-    """The two things scratch_path looks at, as a cluster session would answer them."""
+class _Session:
+    """What ``scratch_path`` asks of a session."""
 
-    def __init__(self, folder, master):
-        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
-        self.sparkContext = type("Context", (), {"master": master})
+    def __init__(self, **settings):
+        self.conf = type("Conf", (), {"get": lambda _, key, *default: settings.get(key, *default)})()
 
 
-def test_scratch_needs_a_shared_folder_only_on_a_cluster():
-    shared = _Cluster("hdfs:///shared/", "yarn")
+def test_scratch_is_in_the_shared_folder_or_the_warehouse():
+    place = {"spark.sql.warehouse.dir": "hdfs:///warehouse"}
+    shared = _Session(**place, **{"spark.checkpoint.dir": "hdfs:///shared/"})
     assert scratch_path(shared, "x").startswith("hdfs:///shared/mercato/x-")
     assert scratch_path(shared, "x") != scratch_path(shared, "x")
-    assert scratch_path(_Cluster(None, "local[2]"), "x")
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_path(_Cluster(None, "yarn"), "x")
+    assert scratch_path(_Session(**place), "x").startswith("hdfs:///warehouse/mercato/x-")
+
+
+def test_values_that_would_be_cut_stop_the_load(spark):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from mercato.sources.csv_ingest import _parsed
+
+    cases = [
+        (T.IntegerType(), ["7", "7.0"], ["7.9", "x"]),
+        (T.TimestampNTZType(), ["2017-01-01 10:00:00", "2017-01-01T10:00:00.5"], ["2017", "2017-01-01T10:00:00+05:00"]),
+        (T.DecimalType(12, 2), ["12.3", "12.30"], ["12.345"]),
+    ]
+    for target, good, bad in cases:
+        rows = spark.createDataFrame([(v,) for v in good + bad], "v string")
+        fine = {r.v for r in rows.filter(_parsed(F.col("v"), target).isNotNull()).collect()}
+        assert fine == set(good)
