@@ -81,7 +81,7 @@ def base_spans(text: str) -> list[tuple[int, int, str, str]]:
             digits = "".join(DIGITS.findall(m[0]))
             if 9 <= len(digits) <= 15:
                 found.append((m.start(), m.end(), 3, digits))
-    return [(a, b, KINDS[k], value) for a, b, k, value in sorted(found)]
+    return [(a, b, KINDS[k], value) for a, b, k, value in sorted(found, key=lambda s: (s[0], s[2], s[1]))]
 
 
 def _hash(text: str) -> int:

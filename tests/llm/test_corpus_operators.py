@@ -405,6 +405,12 @@ def test_base_spans_equal_plain_patterns(texts):
         assert [s[:3] for s in pii.base_spans(text)] == plain(text)
 
 
+@pytest.mark.parametrize("text, kinds", [("10.0.0.1@host.com", ["email", "ip"]), ("4111111111111111@x.com", ["email", "card"]),
+                                         ("+4915112345678@sms.example.com", ["email", "phone"])])
+def test_base_spans_of_one_start_come_by_kind(text, kinds):
+    assert [s[2] for s in pii.base_spans(text) if s[0] == 0] == kinds
+
+
 def test_disclosing_words(spark, none):
     rows = [(i, f"{words(i, 12)} the zorbulon wizard writes from jo@x.org about {words(i + 99, 12)}") for i in range(6)]
     rows += [(i, f"{words(i, 30)} the wizard writes from here about {words(i + 7, 30)}") for i in range(10, 200)]
