@@ -305,6 +305,33 @@ def test_every_repeated_passage_is_found(spark, none):
     assert substring_dedup.repeated_passages(none).count() == 0
 
 
+def test_holders_of_parts_do_not_hide_repeated_runs(spark):
+    draw, rows = random.Random(11), []
+    for group in range(12):
+        passage, texts = words(1000 + group, draw.choice([50, 55, 70, 120])).split(), []
+        for k in range(14):
+            size = len(passage) if k % 3 == 2 else draw.randrange(28, 50)  # most hold a part that is too short
+            at = draw.randrange(len(passage) - size + 1)
+            texts.append(f"{words(5000 + 100 * group + k, 40)} {' '.join(passage[at : at + size])} {words(9000 + 100 * group + k, 40)}")
+        rows += [(100 * group + k, t) for k, t in enumerate(texts)]
+    line = words(77, 9)
+    rows += [(5000, f"{words(78, 30)} {line * 12}"), (5001, f"{line * 9} {words(79, 30)}")]  # a passage that repeats itself
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    removed = defaultdict(list)
+    for r in substring_dedup.repeated_passages(df).filter("removed").collect():
+        removed[r.doc_id].append((r.start, r.end))
+    seen, missed, repeated = set(), [], 0
+    for i, text in sorted(rows):
+        spans = [m.span() for m in re.finditer(r"\S+", text)]
+        runs = [(text[spans[k][0] : spans[k + 49][1]], spans[k][0], spans[k + 49][1]) for k in range(len(spans) - 49)]
+        for run, start, end in runs:
+            if run in seen:
+                repeated += 1
+                missed += [(i, start)] * (not any(a <= start and end <= b for a, b in removed[i]))
+        seen |= {run for run, _, _ in runs}
+    assert repeated > 300 and not missed
+
+
 # fingerprints
 
 
