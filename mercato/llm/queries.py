@@ -94,7 +94,8 @@ def substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.fingerprinted(table(spark, sf_dir, "documents"))
+    rows = simhash.fingerprinted(table(spark, sf_dir, "documents"))
+    return rows.withColumn("near_ids", F.array_join("near_ids", ","))
 
 
 QUERIES = {

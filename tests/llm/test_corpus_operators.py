@@ -369,6 +369,34 @@ def test_neighbours_equal_brute_force(spark):
         assert got == want
 
 
+def test_near_copies_are_found_and_named(spark):
+    draw, texts = random.Random(5), {}
+    for group in range(40):
+        base = words(300 + group, 180).split()
+        texts[1000 * group] = " ".join(base)
+        texts[1000 * group + 1] = " ".join(base).upper()  # the same class
+        for k in range(2, 8):  # 1 to 4 changes in 180 words: 5-word Jaccard from 0.95 to 0.8
+            copy = list(base)
+            for place in draw.sample(range(4, 176), 1 + k % 4):
+                copy[place] = f"new{draw.randrange(10**6)}"
+            texts[1000 * group + k] = " ".join(copy)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = {r.doc_id: r for r in simhash.fingerprinted(df).collect()}
+    bits = {i: int(r.fingerprint, 16) for i, r in rows.items()}
+    found = expected = 0
+    for i in range(0, 40_000, 1000):
+        near = [j for j in bits if j != i and bin(bits[i] ^ bits[j]).count("1") <= 20]
+        assert rows[i].n_near == len(near)
+        assert rows[i].near_ids == sorted({rows[j].class_id for j in near} - {rows[i].class_id})
+        assert rows[i + 1].class_id == rows[i].class_id == i and rows[i + 1].near_ids is None
+        shingled = {j: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for j in range(i, i + 8) if (w := texts[j].lower().split())}
+        similar = [j for j in range(i + 1, i + 8) if 10 * len(shingled[i] & shingled[j]) >= 8 * len(shingled[i] | shingled[j])]
+        expected += len(similar)
+        found += len(set(similar) & set(near))
+    print(f"recall {found} of {expected}")
+    assert expected > 200 and found >= 0.97 * expected
+
+
 def test_fingerprints_of_odd_rows(odd, none):
     rows = simhash.fingerprinted(odd).collect()
     assert len(rows) == odd.count()
