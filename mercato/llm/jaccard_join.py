@@ -10,15 +10,20 @@ texts) are out before any pair is looked at. The hashes left connect classes int
 Groups go to tasks: small ones share a task, large ones are cut into blocks of bounded size, by size band
 and hash, and every two blocks that can hold a link meet in a task. A task builds inverted lists of whole
 shingle sets and searches each set: sorted runs of the short lists are merged and counted, candidates with
-enough occurrences are looked up in the long lists by binary search, and exact overlap decides. A set is not
-compared with sets that it is already connected to, and a task returns a spanning forest, not all pairs, so
-output is linear also in a group where everything is alike. Components of the forests are the result.
+enough occurrences are looked up in the long lists, and exact overlap decides. Two sets meet in one task only, so
+every link is verified once; a task counts it for both sets, weighted by the documents of the other one, and
+returns these sums and a spanning forest, not all pairs. So output is linear also in a group where everything is
+alike. Components of the forests and totals of the sums are the result.
+
+Candidates are looked up in a long list by binary search if they are few beside it. If they are many, as in a group
+where everything is alike, the list is marked and each candidate reads its mark.
 
 The short lists are merged by a stable sort of their concatenation, which detects the sorted runs; a heap of
 Python objects gives the same order some fifty times slower.
 
 Nulls: a null or blank text has no shingles and links with nothing, its component is its own doc_id. A null
-doc_id never represents a class unless all of the class are null. Repeated rows have the same result. Empty
+doc_id never represents a class unless all of the class are null, and neither has nor is a link. Repeated rows
+have the same result and count once. Empty
 table: empty result. Other columns are ignored.
 """
 
@@ -47,6 +52,8 @@ EXTRA = 10
 BLOCK = 1_000_000
 #: Cost of a binary search beside a merge step in DivideSkip's choice of long lists.
 MU = 0.02
+#: Candidates are searched for in a list that is longer than this many times their number.
+SEARCHED = 20
 
 
 def distinct_shingles(text: bytes, hashes: WordHashes) -> np.ndarray:
@@ -146,10 +153,13 @@ def tasks_of(groups: DataFrame, block: int = BLOCK) -> DataFrame:
     return packed.unionByName(cut)
 
 
-def spanning_links(names: np.ndarray, sides: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """A spanning forest of the links among the sets of a task, by T-occurrence search."""
+def counted_links(
+    names: np.ndarray, sides: np.ndarray, copies: np.ndarray, sets: list[np.ndarray]
+) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """Of the links among the sets of a task, by T-occurrence search: names, the copies that each one's
+    partners stand for, and a spanning forest."""
     order = np.argsort([len(s) for s in sets], kind="stable")
-    names, sides, sets = names[order], sides[order], [sets[i] for i in order]
+    names, sides, copies, sets = names[order], sides[order], copies[order], [sets[i] for i in order]
     sizes = np.array([len(s) for s in sets])
     ends = np.cumsum(sizes)
     tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
@@ -161,6 +171,8 @@ def spanning_links(names: np.ndarray, sides: np.ndarray, sets: list[np.ndarray])
     list_of[by_token] = np.cumsum(runs) - 1
     members = owner[by_token]  # ascending within a list
     group = np.arange(len(sets))  # connected so far
+    totals = np.zeros(len(sets), dtype=np.int64)
+    marked = np.zeros(len(sets), dtype=bool)
     links = []
     for x in range(len(sets)):
         if sides[x] == 0:
@@ -183,58 +195,93 @@ def spanning_links(names: np.ndarray, sides: np.ndarray, sets: list[np.ndarray])
         merged = np.sort(np.concatenate(short), kind="stable")
         at = np.flatnonzero(np.concatenate([[True], merged[1:] != merged[:-1]]))
         found, counts = merged[at], np.diff(np.append(at, len(merged)))
-        keep = (counts >= need - long) & (group[found] != group[x])
+        keep = counts >= need - long
         if sides[x] == 1:
             keep &= sides[found] == 0
         found, counts = found[keep], counts[keep]
         for done, probed in enumerate(long_lists, 1):
             if not len(found):
                 break
-            place = np.minimum(np.searchsorted(probed, found), len(probed) - 1)
-            counts = counts + (probed[place] == found)
+            if len(found) * SEARCHED < len(probed):
+                place = np.minimum(np.searchsorted(probed, found), len(probed) - 1)
+                counts = counts + (probed[place] == found)
+            else:
+                marked[probed] = True
+                counts = counts + marked[found]
+                marked[probed] = False
             # a partner larger than x (other block) needs more, which the last test sees to
             keep = counts + (len(long_lists) - done) >= need
             found, counts = found[keep], counts[keep]
         linked = found[100 * counts >= PERCENT * (sizes[x] + sizes[found] - counts)]
-        for y in linked:
+        totals[x] += copies[linked].sum()
+        totals[linked] += copies[x]
+        for y in linked[group[linked] != group[x]]:
             if group[y] != group[x]:
                 links.append((int(names[x]), int(names[y])))
                 group[group == group[y]] = group[x]
-    return links
+    return names, totals, links
+
 
+def links(docs: DataFrame, shown: DataFrame, classes: DataFrame, block: int = BLOCK) -> DataFrame:
+    """From documents, their sketches and ``classes`` (class, copies): a, b, n, written.
 
-def links(docs: DataFrame, shown: DataFrame, block: int = BLOCK) -> DataFrame:
-    """From documents and their sketches: a, b: links between classes that connect all classes connected by links."""
+    Links (a, b) between classes, n null, that connect all classes connected by links; and per class a, b null, the
+    documents n of other classes that link with it, in parts.
+    """
     places = tasks_of(candidate_groups(shown), block)
     asked = places.groupBy("class").agg(F.collect_list(F.struct("task", "side")).alias("places"))
+    asked = asked.join(classes.select("class", "copies"), "class")
     text = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    rows = text.join(asked, text["doc_id"] == asked["class"]).select("class", "text", "places")
+    rows = text.join(asked, text["doc_id"] == asked["class"]).select("class", "copies", "text", "places")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             made = [distinct_shingles(t, hashes).tobytes() for t in batch.column("text").to_pylist()]
-            columns = [batch.column("class"), pa.array(made, pa.binary()), batch.column("places")]
-            yield pa.RecordBatch.from_arrays(columns, names=["class", "shingles", "places"])
+            columns = [batch.column("class"), batch.column("copies"), pa.array(made, pa.binary()), batch.column("places")]
+            yield pa.RecordBatch.from_arrays(columns, names=["class", "copies", "shingles", "places"])
 
     place = "array<struct<task:string,side:int>>"
-    dealt = rows.mapInArrow(sets, f"class bigint, shingles binary, places {place}")
-    dealt = dealt.select("class", "shingles", F.explode("places").alias("p")).select("class", "shingles", "p.task", "p.side")
+    dealt = rows.mapInArrow(sets, f"class bigint, copies bigint, shingles binary, places {place}")
+    dealt = dealt.select("class", "copies", "shingles", F.explode("places").alias("p"))
+    dealt = dealt.select("class", "copies", "shingles", "p.task", "p.side")
 
     def search(block: pd.DataFrame) -> pd.DataFrame:
         block = block.drop_duplicates("class")  # a doc_id that stands in several rows
         own = [np.frombuffer(s, dtype=np.uint64) for s in block["shingles"]]
-        return pd.DataFrame(spanning_links(block["class"].to_numpy(), block["side"].to_numpy(), own), columns=["a", "b"])
+        names, totals, forest = counted_links(*(block[c].to_numpy() for c in ("class", "side", "copies")), own)
+        counts = pd.DataFrame({"a": names, "b": None, "n": totals})[totals > 0]
+        edges = pd.DataFrame(forest, columns=["a", "b"]).assign(n=None)
+        return pd.concat([x.astype("Int64") for x in (counts, edges)])
 
-    return dealt.groupBy("task").applyInPandas(search, "a bigint, b bigint")
+    return written(dealt.groupBy("task").applyInPandas(search, "a bigint, b bigint, n bigint"), "jaccard-links")
 
 
 def linked_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles, component_id: one row per row of ``docs``."""
+    """doc_id, n_shingles, component_id, class_id, n_links: one row per row of ``docs``.
+
+    class_id is the smallest doc_id with the same shingles, n_links the number of other documents that link.
+    """
     shown = sketches(docs)
-    connected = components(links(docs, shown, block)).withColumnRenamed("node", "class")
     rows = shown.drop("prefix")
-    classes = rows.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("class"))
-    named = classes.join(connected, "class", "left").select("digest", F.coalesce("component", "class").alias("component_id"))
+    classes = rows.filter("digest IS NOT NULL").groupBy("digest").agg(
+        F.min("doc_id").alias("class"), F.count_distinct("doc_id").alias("copies")
+    )
+    classes = written(classes, "jaccard-classes")
+    found = links(docs, shown, classes, block)
+    connected = components(found.filter("b IS NOT NULL")).withColumnRenamed("node", "class")
+    counts = found.filter("b IS NULL").groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("n"))
+    named = classes.join(connected, "class", "left").join(counts, "class", "left").select(
+        "digest",
+        F.coalesce("component", "class").alias("component_id"),
+        F.col("class").alias("class_id"),
+        (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+    )
     joined = rows.join(named, "digest", "left")
-    return joined.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return joined.select(
+        "doc_id",
+        "n_shingles",
+        F.coalesce("component_id", "doc_id").alias("component_id"),
+        F.coalesce("class_id", "doc_id").alias("class_id"),
+        F.when(F.col("doc_id").isNull(), 0).otherwise(F.coalesce("n_links", F.lit(0))).cast("bigint").alias("n_links"),
+    )

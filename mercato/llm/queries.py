@@ -51,6 +51,10 @@ def exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_links(spark, sf_dir).select("doc_id", "n_shingles", "component_id")
+
+
+def jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked_documents(table(spark, sf_dir, "documents"))
 
 
@@ -103,6 +107,7 @@ QUERIES = {
     "op2_personal_data": personal_data,
     "op3_exact_dedup": exact,
     "op4_jaccard_join": jaccard,
+    "op4_jaccard_links": jaccard_links,
     "op5_byte_bpe": byte_bpe,
     "op6_mix_sources": mixture,
     "op7_chat_format": chat_format,
@@ -144,6 +149,32 @@ WITH RECURSIVE worded AS (
 SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(c.component, d.doc_id) AS component_id
 FROM documents d LEFT JOIN sizes s USING (doc_id)
 LEFT JOIN (SELECT a AS doc_id, min(b) AS component FROM reached GROUP BY a) c USING (doc_id)
+""",
+    "op4_jaccard_links": r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingled AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM worded WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingled GROUP BY doc_id
+), linked AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM shingled a JOIN shingled b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))
+), reached AS (
+  SELECT a, a AS b FROM linked UNION SELECT r.a, l.b FROM reached r JOIN linked l ON r.b = l.a
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(c.component, d.doc_id) AS component_id,
+       coalesce(e.class, d.doc_id) AS class_id, coalesce(k.n, 0)::BIGINT AS n_links
+FROM documents d LEFT JOIN sizes s USING (doc_id)
+LEFT JOIN (SELECT a AS doc_id, count(*) AS n FROM linked GROUP BY a) k USING (doc_id)
+LEFT JOIN (SELECT doc_id, min(doc_id) OVER (PARTITION BY x) AS class
+           FROM (SELECT doc_id, string_agg(s, chr(10) ORDER BY s) AS x FROM shingled GROUP BY doc_id)) e USING (doc_id)
+LEFT JOIN (SELECT a AS doc_id, min(b) AS component FROM reached GROUP BY a) c USING (doc_id)
 """,
     "op6_mix_sources": rf"""
 WITH sized AS (

@@ -149,6 +149,29 @@ def test_near_copies_in_one_block_and_in_many(spark, block):
     assert found == linked_by_force(texts)
 
 
+@pytest.mark.parametrize("block", [jaccard_join.BLOCK, 400])
+def test_every_link_is_counted(spark, block, monkeypatch):
+    draw, texts = random.Random(8), {}
+    for i in range(120):
+        w = words(i // 40, 60 + 10 * (i % 3)).split()
+        for _ in range(draw.randrange(4)):
+            w[draw.randrange(len(w))] = f"new{draw.randrange(10**6)}"
+        texts[i] = " ".join(w)
+        if i % 7 == 0:
+            texts[1000 + i] = texts[i].upper()  # a copy is a link
+    texts[2000] = texts[2001] = ""
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, t in texts.items() for w in [t.lower().split()]}
+    linked = {i: sum(1 for j in sets if i != j and a and 100 * len(a & sets[j]) >= 80 * len(a | sets[j])) for i, a in sets.items()}
+    rows = [*texts.items(), (3, texts[3]), (None, texts[3])]  # a repeated row and one without id are no links
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for searched in (0, 10**9):  # all long lists searched, all marked
+        monkeypatch.setattr(jaccard_join, "SEARCHED", searched)
+        found = jaccard_join.linked_documents(df, block).collect()
+        assert {r.doc_id: r.n_links for r in found} == {**linked, None: 0}
+        assert all(r.class_id == min(i for i in sets if sets[i] == sets[r.doc_id]) for r in found if r.doc_id is not None and sets[r.doc_id])
+    assert sum(linked.values()) > 700
+
+
 def test_jaccard_of_odd_rows(odd, none):
     rows = {r.doc_id: r for r in jaccard_join.linked_documents(odd).collect()}
     assert [rows[i].n_shingles for i in range(6)] == [0, 0, 0, 1, 1, 1]
