@@ -525,3 +525,51 @@ def test_stages_of_an_empty_table(spark, none):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+def test_pipeline_rows_equal_a_plain_version(spark, docs, reference, tmp_path):
+    shape = ["doc_id", "text", "lang", "source", "n_chars"]
+    rows = sorted(tuple(r) for r in docs.select(*shape).filter("doc_id IS NOT NULL").collect())[:150]
+    for n, (i, text, lang, source, _) in enumerate(rows[:60]):
+        changed = text.split()
+        changed[len(changed) // 2] = f"new{n}"
+        for k, other in enumerate([text + " ", "\n".join(text.split(" ")), " ".join(changed)]):
+            rows.append((10**6 + 10 * i + k, other, lang, source, None))  # a longer copy, an equal one, a near one
+    rows += [(2 * 10**6 + n, f"{rows[n][1]} {rows[n + 1][1]}", rows[n][2], "hot", None) for n in range(60, 149)]
+    kinds = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, kinds).write.parquet(str(tmp_path / "documents.parquet"))
+    told = {r.doc_id for r in queries.language(spark, str(tmp_path)).collect() if r.lang_pred != language_id.UNKNOWN}
+    best = {}
+    for i, text, *_ in rows:
+        if i in told:
+            plain = re.sub(r"[\x20\x09-\x0D]+", "", text)
+            best[plain] = max(best.get(plain, (-1, 0, "")), (len(text), -i, text))
+    single = {-i: text for _, i, text in best.values()}
+    group = linked_by_force(single)
+    left = {i: text for i, text in single.items() if group[i] == i}
+    assert len(told) > len(single) > len(left)
+    of = {i: (lang, source) for i, _, lang, source, _ in rows}
+    size = {i: len(re.findall(r"[^\x20\x09-\x0D]+", text)) for i, text in left.items()}
+    sums = defaultdict(int)
+    for i, n in size.items():
+        sums[of[i][1]] += n
+    weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(sorted(sums))}
+    target, open_ = {}, set(sums)
+    while open_:  # rounds: what a full source cannot take goes to the others
+        level = (1.5 * sum(sums.values()) - sum(target.values())) / sum(weight[s] for s in open_)
+        full = {s for s in open_ if weight[s] * level >= 2 * sums[s]}
+        target |= {s: 2.0 * sums[s] for s in full} if full else {s: weight[s] * level for s in open_}
+        open_ = open_ - full if full else set()
+    want = defaultdict(int)
+    for i, text in left.items():
+        lang, source = of[i]
+        rate = target[source] / sums[source]
+        coin = int(hashlib.md5(f"{i}:17".encode()).hexdigest()[:13], 16) / 2**52
+        times = int(rate) + (coin < rate - int(rate))
+        if times:
+            ids = tuple(reference.encode_ordinary(text))
+            want[i, lang, source, len(ids), ids] = times
+    found = defaultdict(int)
+    for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        found[r.doc_id, r.lang, r.source, r.n_tokens, tuple(r.ids)] += 1
+    assert found == want
