@@ -13,6 +13,8 @@ from mercato.llm import (
     jaccard_join,
     language_id,
     mixing,
+    packing,
+    periodic_runs,
     pii,
     simhash,
     substring_dedup,
@@ -21,6 +23,7 @@ from mercato.llm import (
 from mercato.llm.tables import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+WORD_VOCABULARY = "word_bpe_49k.json"
 # fixed values: the rules of the URL query
 RULES = "VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')"
 
@@ -102,6 +105,48 @@ def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("near_ids", F.array_join("near_ids", ","))
 
 
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id and text; in one document of ten, by crc32 of the id, the words from some place on repeat a stretch."""
+    key = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    seed, size = F.floor(key / 10), F.size("w").cast("bigint")
+    first = F.when(size > 0, seed % size)
+    period = 1 + F.floor((size - first) / (3 + seed % 8))
+    source = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    repeated = F.transform(F.sequence(F.lit(0).cast("bigint"), F.size("w") - 1), lambda i: F.get("w", source(i).cast("int")))
+    chosen = docs.select("doc_id", "text", key.alias("key")).withColumn("w", F.when(F.col("key") % 10 == 0, words))
+    placed = chosen.withColumn("a", first).withColumn("p", period)
+    text = F.when(F.size("w") > 0, F.array_join(repeated, " ")).otherwise(F.col("text"))
+    return placed.select("doc_id", text.alias("text"))
+
+
+def collapsed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = periodic_runs.periodic_runs(with_repeats(table(spark, sf_dir, "documents")))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    longer = lambda r, s: r["length"] * s["period"] > s["length"] * r["period"]
+    # runs come by start, then period: the first of equals stays
+    best = F.reduce("runs", F.get("runs", F.lit(0)), lambda top, r: F.when(longer(r, top), r).otherwise(top))
+    return rows.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path(WORD_VOCABULARY), encoding="utf-8") as lines:
+        model = lines.read()
+    pieces = packing.packed(table(spark, sf_dir, "documents"), model)
+    return pieces.withColumn("ids_crc32", F.crc32("tokens")).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
 QUERIES = {
     "op1_language_id": language,
     "op2_personal_data": personal_data,
@@ -114,8 +159,16 @@ QUERIES = {
     "op8_url_filter": url_rules,
     "op9_substring_dedup": substrings,
     "op10_simhash": fingerprints,
+    "op11_periodic_runs": collapsed_runs,
+    "op13_harmonic_packing": packed_sequences,
 }
 
+# crc32 (reversed polynomial 0xEDB88320), one step a bit, of the decimal number {0}
+CRC = (
+    "xor(list_reduce(list_concat([4294967295], flatten(list_transform(regexp_extract_all({0}::VARCHAR, '.'),"
+    " lambda c: [ascii(c), 0, 0, 0, 0, 0, 0, 0]::BIGINT[]))),"
+    " lambda c, b: xor(xor(c, b) >> 1, (xor(c, b) & 1) * 3988292384)), 4294967295)"
+)
 WORDS = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
 
 ORACLES = {
@@ -236,5 +289,51 @@ WITH placed AS (
 )
 SELECT page_id, host, path, hit.rule AS rule, coalesce(hit.action, 'allow') AS verdict
 FROM placed LEFT JOIN hits USING (host, path)
+""",
+    # a run of period q with 2^(k-1) < q <= 2^k: its 2^k-grams, q apart, are next occurrences of each other
+    "op11_periodic_runs": rf"""
+WITH RECURSIVE numbered AS (
+  SELECT row_number() OVER () AS r, doc_id, {CRC.format('doc_id')} AS h,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), placed AS (
+  SELECT r, doc_id, w, len(w) AS n, coalesce(h % 10 = 0 AND len(w) > 0, false) AS chosen, (h // 10) % greatest(len(w), 1) AS a, h // 10 AS g FROM numbered
+), words AS (
+  SELECT r, i, w[1 + CASE WHEN chosen AND i >= a THEN a + (i - a) % (1 + (n - a) // (3 + g % 8)) ELSE i END] AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM placed)
+), grams AS (
+  SELECT 1::BIGINT AS size, r, i, hash(word) AS gram FROM words
+  UNION ALL
+  SELECT x.size * 2, x.r, x.i, hash(x.gram, y.gram)
+  FROM grams x JOIN grams y ON x.r = y.r AND x.i + x.size = y.i JOIN placed p ON p.r = x.r
+  WHERE x.size * 3 <= p.n
+), apart AS (
+  SELECT size, r, i, lead(i) OVER (PARTITION BY size, r, gram ORDER BY i) - i AS period FROM grams
+), islands AS (
+  SELECT size, r, period, i, i - row_number() OVER (PARTITION BY size, r, period ORDER BY i) AS island
+  FROM apart WHERE period <= size AND 2 * period > size
+), runs AS (
+  SELECT r, min(i) AS start, count(*) + period + size - 1 AS length, period
+  FROM islands GROUP BY size, r, period, island
+  HAVING count(*) + period + size - 1 >= greatest(24, 3 * period)
+), marked AS (
+  SELECT r, start + period AS i, 1 AS step FROM runs UNION ALL SELECT r, start + length, -1 FROM runs
+), steps AS (
+  SELECT r, i, sum(step) AS step FROM marked GROUP BY r, i
+), kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY i) AS collapsed
+  FROM (SELECT w.r, w.i, w.word, sum(coalesce(s.step, 0)) OVER (PARTITION BY w.r ORDER BY w.i) AS depth
+        FROM words w LEFT JOIN steps s ON s.r = w.r AND s.i = w.i)
+  WHERE depth = 0 GROUP BY r
+), listed AS (
+  SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+  FROM runs GROUP BY r
+), best AS (
+  SELECT * FROM runs
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY length::DOUBLE / period DESC, start, period) = 1
+)
+SELECT p.doc_id, coalesce(n_runs, 0) AS n_runs, b.start, b.length, b.period, 1000 * b.length // b.period AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM placed p LEFT JOIN listed USING (r) LEFT JOIN best b USING (r) LEFT JOIN kept USING (r)
 """,
 }
