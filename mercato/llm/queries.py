@@ -16,6 +16,7 @@ from mercato.llm import (
     packing,
     periodic_runs,
     pii,
+    prefix_trie,
     simhash,
     substring_dedup,
     url_filter,
@@ -138,6 +139,14 @@ def collapsed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.numbered_turns(table(spark, sf_dir, "conversations"))
+    key = F.col("conv_id")
+    head = F.crc32(key.cast("string").cast("binary")) % 9
+    lengths = turns.select("conv_id").distinct().select(key, (key - key % 5).alias("base"), head.alias("head"))
+    return prefix_trie.prefix_trie(*prefix_trie.shared_starts(turns, lengths)).drop("enter", "exit")
+
+
 def packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path(WORD_VOCABULARY), encoding="utf-8") as lines:
         model = lines.read()
@@ -160,6 +169,7 @@ QUERIES = {
     "op9_substring_dedup": substrings,
     "op10_simhash": fingerprints,
     "op11_periodic_runs": collapsed_runs,
+    "op12_prefix_trie": conversation_trie,
     "op13_harmonic_packing": packed_sequences,
 }
 
@@ -335,5 +345,42 @@ WITH RECURSIVE numbered AS (
 SELECT p.doc_id, coalesce(n_runs, 0) AS n_runs, b.start, b.length, b.period, 1000 * b.length // b.period AS exponent_milli,
        sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
 FROM placed p LEFT JOIN listed USING (r) LEFT JOIN best b USING (r) LEFT JOIN kept USING (r)
+""",
+    "op12_prefix_trie": rf"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), sizes AS (
+  SELECT conv_id, count(*) AS size, {CRC.format('conv_id')} % 9 AS head FROM turns GROUP BY conv_id
+), plan AS (
+  SELECT c.conv_id, c.conv_id - c.conv_id % 5 AS base, c.head, least(c.head, coalesce(b.size, 0)) AS shared, c.size
+  FROM sizes c LEFT JOIN sizes b ON b.conv_id = c.conv_id - c.conv_id % 5
+), rebuilt AS (
+  SELECT p.conv_id, t.place, role, text FROM plan p JOIN turns t ON t.conv_id = p.base AND t.place <= p.shared
+  UNION ALL
+  SELECT p.conv_id, t.place - p.head + p.shared, role, text FROM plan p JOIN turns t ON t.conv_id = p.conv_id AND t.place > p.head
+), paths AS (
+  SELECT conv_id, 0 AS depth, '' AS key, NULL AS above, 0 AS bytes, shared + greatest(size - head, 0) = 0 AS ends FROM plan
+  UNION ALL
+  SELECT conv_id, place, key, coalesce(lag(key) OVER each, ''), strlen(text), lead(key) OVER each IS NULL
+  FROM (SELECT conv_id, place, text,
+               string_agg(sha256(role) || sha256(text), '' ORDER BY place) OVER (PARTITION BY conv_id ORDER BY place) AS key
+        FROM rebuilt)
+  WINDOW each AS (PARTITION BY conv_id ORDER BY place)
+), nodes AS (
+  SELECT key, max(above) AS above, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM paths GROUP BY key, depth
+), family AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM nodes c WHERE c.above = n.key AND c.depth > 0) AS n_children
+  FROM nodes n LEFT JOIN nodes p ON p.key = n.above
+), below AS (
+  SELECT up.key, count(*) FILTER (WHERE f.n_children = 0) AS n_leaves, sum((f.n_convs - 1) * f.bytes) AS saved_tokens
+  FROM family f JOIN paths up ON up.conv_id = f.conv_id AND up.depth <= f.depth
+  GROUP BY up.key
+)
+SELECT conv_id, depth::BIGINT AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, ends_sha256
+FROM family JOIN below USING (key)
 """,
 }
