@@ -2,9 +2,11 @@
 
 Every function first shrinks rows to counts per distinct value, then works on two levels. A value
 belongs to a *slot*, a monotone logarithmic bucket whose width is about 0.3 % of the value, so there
-are a few thousand slots whatever the range. Prefix sums over the slots are tiny; the sort inside one
-slot only sees that slot's distinct values. All of it is one lazy, deterministic plan, so a lost
-executor recomputes to the same answer.
+are a few thousand slots whatever the range. Values far from zero share few slots, so each slot is cut
+once more into *parts* of equal width between its own least and greatest value, about one part per
+``PART_VALUES`` distinct values. Prefix sums run over slots and over the parts of a slot; only the values
+of one part are sorted together. All of it is one lazy, deterministic plan, so a lost executor recomputes
+to the same answer.
 """
 
 from __future__ import annotations
@@ -16,6 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NULLS_LAST = 1e300  # stands for NULL in an ascending order with NULLs last
+PART_VALUES = 256  # distinct values that a part should hold
+MOST_PARTS = 1 << 16  # of one slot
+RADIX_BYTES = 3  # of a text behind the prefix that all texts share
 MAX_NUMBERED_GROUP = 1_000_000  # rows of one key that a single task may number
 
 
@@ -25,11 +30,29 @@ def slot_of(value: Column, unit: float = 1.0, per_octave: int = 256) -> Column:
     return (F.signum(x) * F.floor(F.log2(F.abs(x) + 1) * per_octave)).cast("long")
 
 
-def _order_slot(df: DataFrame, name: str) -> Column:
-    """Monotone bucket of an id column: leading characters of text, else the numeric slot."""
-    if isinstance(df.schema[name].dataType, T.StringType):
-        return F.substring(name, 1, 3)
-    return slot_of(F.col(name))
+def _part_of(value: Column, low: Column, high: Column, values: Column) -> Column:
+    """Monotone number of the part of [low, high] that holds ``value``; ``values`` is how many lie between."""
+    x, a, b = (c.cast("double") for c in (value, low, high))
+    parts = F.least(F.ceil(values / PART_VALUES), F.lit(MOST_PARTS))
+    place = F.least(F.floor((x - a) / (b - a) * parts), parts - 1)
+    return F.when(b > a, place).otherwise(0).cast("long")
+
+
+def _shared_bytes(low: Column, high: Column) -> Column:
+    """How many leading bytes two texts share."""
+    short = F.least(F.octet_length(low), F.octet_length(high))
+    at = F.sequence(F.lit(1), F.greatest(short, F.lit(1)))
+    one = F.lit(1)
+    other = F.filter(at, lambda i: F.substring(low, i, one) != F.substring(high, i, one))
+    return F.least(F.coalesce(F.get(other, F.lit(0)) - 1, short), short)
+
+
+def _tie_part(kind: T.DataType, tie: Column, low: Column, high: Column, rows: Column) -> Column:
+    """Monotone bucket of an id between ``low`` and ``high``: text by the bytes after their common prefix."""
+    if isinstance(kind, T.StringType):
+        low, high, raw = (F.encode(c, "UTF-8") for c in (low, high, tie))
+        return F.substring(raw, _shared_bytes(low, high) + 1, F.lit(RADIX_BYTES))
+    return _part_of(tie, low, high, rows)
 
 
 def _group_key(by: Sequence[str]) -> Column:
@@ -67,17 +90,34 @@ def _pick(
     )
     slots = (
         counts.groupBy("_k", "_slot")
-        .agg(F.sum("_n").alias("_n"))
+        .agg(
+            F.sum("_n").alias("_n"),
+            F.min("_v").alias("_low"),
+            F.max("_v").alias("_high"),
+            F.count(F.lit(1)).alias("_values"),
+        )
         .withColumn("_total", F.sum("_n").over(group))
         .withColumn("_upto", F.sum("_n").over(group.orderBy("_slot")))
         .withColumn("_target", wanted)
         .withColumn("_rest", F.col("_target.pos") - (F.col("_upto") - F.col("_n")))
         .where("_rest >= 0 AND _target.pos < _upto")
-        .select("_k", "_slot", "_total", F.col("_target.label").alias("_label"), "_rest")
+        .select("_k", "_slot", "_total", F.col("_target.label").alias("_label"), "_rest", "_low", "_high", "_values")
+    )
+    aimed = counts.join(slots, ["_k", "_slot"]).withColumn(
+        "_part", _part_of(F.col("_v"), F.col("_low"), F.col("_high"), F.col("_values"))
+    )
+    parts = (
+        aimed.groupBy("_k", "_label", "_part")
+        .agg(F.sum("_n").alias("_n"), F.max("_rest").alias("_rest"))
+        .withColumn("_upto", F.sum("_n").over(Window.partitionBy("_k", "_label").orderBy("_part")))
+        .withColumn("_rest", F.col("_rest") - (F.col("_upto") - F.col("_n")))
+        .where("_rest >= 0 AND _rest < _n")
+        .select("_k", "_label", "_part", "_rest")
     )
     inside = Window.partitionBy("_k", "_label").orderBy("_v")
     return (
-        counts.join(slots, ["_k", "_slot"])
+        aimed.select("_k", "_label", "_part", "_v", "_n", "_total")
+        .join(parts, ["_k", "_label", "_part"])
         .withColumn("_upto", F.sum("_n").over(inside))
         .withColumn("_rest", F.col("_rest") - (F.col("_upto") - F.col("_n")))
         .where("_rest >= 0 AND _rest < _n")
@@ -145,21 +185,34 @@ def running_totals(
     )
     direction = F.desc if descending else F.asc
     group = Window.partitionBy("_k")
-    slots = per_value.groupBy("_k", "_slot").agg(*[F.sum(w).alias(w) for w in weights])
+    ends = [F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.count(F.lit(1)).alias("_values")]
+    slots = per_value.groupBy("_k", "_slot").agg(*[F.sum(w).alias(w) for w in weights], *ends)
     slots = slots.select(
         "_k",
         "_slot",
+        *("_low", "_high", "_values"),
         *[F.sum(w).over(group).alias(f"{w}_total") for w in weights],
         *[(F.sum(w).over(group.orderBy(direction("_slot"))) - F.col(w)).alias(f"_{w}_before") for w in weights],
     )
-    inside = Window.partitionBy("_k", "_slot").orderBy(direction("_v"))
+    placed = per_value.join(slots, ["_k", "_slot"]).withColumn(
+        "_part", _part_of(F.col("_v"), F.col("_low"), F.col("_high"), F.col("_values"))
+    )
+    in_slot = Window.partitionBy("_k", "_slot").orderBy(direction("_part"))
+    parts = placed.groupBy("_k", "_slot", "_part").agg(*[F.sum(w).alias(w) for w in weights])
+    parts = parts.select(
+        *("_k", "_slot", "_part"), *[(F.sum(w).over(in_slot) - F.col(w)).alias(f"_{w}_inner") for w in weights]
+    )
+    inside = Window.partitionBy("_k", "_slot", "_part").orderBy(direction("_v"))
     return (
-        per_value.join(slots, ["_k", "_slot"])
+        placed.join(parts, ["_k", "_slot", "_part"])
         .select(
             *_restore(by),
             F.col("_v").alias(value),
             *weights,
-            *[(F.col(f"_{w}_before") + F.sum(w).over(inside)).alias(f"{w}_upto") for w in weights],
+            *[
+                (F.col(f"_{w}_before") + F.col(f"_{w}_inner") + F.sum(w).over(inside)).alias(f"{w}_upto")
+                for w in weights
+            ],
             *[f"{w}_total" for w in weights],
         )
     )
@@ -182,50 +235,61 @@ def mid_ranks(
 
 
 def ntile(df: DataFrame, value: str, tie: str, tiles: int, name: str, unit: float = 1.0) -> DataFrame:
-    """``NTILE(tiles) OVER (ORDER BY value NULLS LAST, tie)`` as a new column.
+    """``NTILE(tiles) OVER (ORDER BY value NULLS LAST, tie)`` as a new column."""
+    return ntiles(df, {name: value}, tie, tiles, unit)
+
 
-    Only the ``tiles - 1`` boundary keys are searched for; rows then compare against them in place,
-    so the rows themselves are neither sorted nor shuffled.
+def ntiles(df: DataFrame, values: Mapping[str, str], tie: str, tiles: int, unit: float = 1.0) -> DataFrame:
+    """A new column of ``NTILE(tiles) OVER (ORDER BY value NULLS LAST, tie)`` for each name and value of ``values``.
+
+    Only the ``tiles - 1`` boundary keys of every value are searched for, all in one pass over the long form;
+    rows then compare against them in place, so the rows themselves are neither sorted nor shuffled.
     """
-    keyed = df.select(
-        F.coalesce(F.col(value).cast("double"), F.lit(NULLS_LAST)).alias("_v"), F.col(tie).alias("_tie")
-    )
+    sorted_by = {name: F.coalesce(F.col(v).cast("double"), F.lit(NULLS_LAST)) for name, v in values.items()}
+    wide = df.select(F.col(tie).alias("_tie"), *[v.alias(name) for name, v in sorted_by.items()])
+    keyed = wide.unpivot("_tie", list(values), "_c", "_v")
 
     def last_of_tile(size: Column) -> list[tuple[str, Column]]:
         whole, extra = F.floor(size / tiles), size % tiles
         return [(str(j), whole * j + F.least(F.lit(j), extra) - 1) for j in range(1, tiles)]
 
-    edges = _pick(keyed, (), "_v", last_of_tile, unit).select("_label", "_v", "_rest")
-    # edges and tie slots hold one row per boundary, at most tiles - 1
-    tied = keyed.join(F.broadcast(edges), "_v").withColumn("_slot", _order_slot(keyed, "_tie"))
-    label = Window.partitionBy("_label")
-    tie_slots = (
-        tied.groupBy("_label", "_slot")
+    edges = _pick(keyed, ["_c"], "_v", last_of_tile, unit).select(*_restore(["_c"]), "_label", "_v", "_rest")
+    # edges, bounds and tie parts hold one row per boundary, at most (tiles - 1) * values
+    tied = keyed.join(F.broadcast(edges), ["_c", "_v"])
+    one = ["_c", "_label"]
+    bounds = tied.groupBy(*one).agg(F.min("_tie").alias("_low"), F.max("_tie").alias("_high"), F.count(F.lit(1)).alias("_rows"))
+    kind = keyed.schema["_tie"].dataType
+    tied = tied.join(F.broadcast(bounds), one).withColumn(
+        "_part", _tie_part(kind, F.col("_tie"), F.col("_low"), F.col("_high"), F.col("_rows"))
+    )
+    label = Window.partitionBy(*one)
+    tie_parts = (
+        tied.groupBy(*one, "_part")
         .agg(F.count(F.lit(1)).alias("_n"), F.max("_rest").alias("_rest"))
-        .withColumn("_upto", F.sum("_n").over(label.orderBy("_slot")))
+        .withColumn("_upto", F.sum("_n").over(label.orderBy("_part")))
         .withColumn("_rest", F.col("_rest") - (F.col("_upto") - F.col("_n")))
         .where("_rest >= 0 AND _rest < _n")
-        .select("_label", "_slot", "_rest")
+        .select(*one, "_part", "_rest")
     )
-    cuts = (
-        tied.drop("_rest")
-        .join(F.broadcast(tie_slots), ["_label", "_slot"])
+    found = (
+        tied.select(*one, "_part", "_v", "_tie")
+        .join(F.broadcast(tie_parts), [*one, "_part"])
         .withColumn("_at", F.row_number().over(label.orderBy("_tie")) - 1)
         .where("_at = _rest")
-        .agg(
-            F.array(
-                *[F.max(F.when(F.col("_label") == str(j), F.struct("_v", "_tie"))) for j in range(1, tiles)]
-            ).alias("cuts")
-        )
     )
-    own = F.struct(
-        F.coalesce(F.col(value).cast("double"), F.lit(NULLS_LAST)).alias("_v"), F.col(tie).alias("_tie")
-    )
-    above = [(own > F.col("_cuts")[j]).cast("int") for j in range(tiles - 1)]
-    place = F.lit(1)
-    for step in above:
-        place = place + step
-    return df.withColumn("_cuts", cuts.scalar()).withColumn(name, place).drop("_cuts")
+
+    def cut(name: str, j: int) -> Column:
+        return F.max(F.when((F.col("_c") == name) & (F.col("_label") == str(j)), F.struct("_v", "_tie")))
+
+    cuts = found.agg(F.struct(*[F.array(*[cut(n, j) for j in range(1, tiles)]).alias(n) for n in values]).alias("cuts"))
+    df = df.withColumn("_cuts", cuts.scalar())
+    for name, v in sorted_by.items():
+        own = F.struct(v.alias("_v"), F.col(tie).alias("_tie"))
+        place = F.lit(1)
+        for j in range(tiles - 1):
+            place = place + (own > F.col("_cuts")[name][j]).cast("int")
+        df = df.withColumn(name, place)
+    return df.drop("_cuts")
 
 
 def numbered(

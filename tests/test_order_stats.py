@@ -61,6 +61,54 @@ def test_ntile_with_text_ids_and_few_rows(spark):
     assert rows(order_stats.ntile(df, "v", "id", 4, "t").select("id", "t")) == [("a", 1), ("b", 2), ("c", 3)]
 
 
+def test_ntiles_of_two_columns_with_ties_among_long_text_ids(spark):
+    rng = random.Random(5)
+    data = [(f"CÜST-{i:09d}"[: rng.choice([6, 9, 14, 14, 14])] + rng.choice(["", "ß"]) + str(i), rng.choice([0, 1, 1, 1]), None if i % 3 else i % 7) for i in range(2000)]
+    df = spark.createDataFrame(data, "id string, v int, w int").repartition(3)
+    got = order_stats.ntiles(df, {"a": "v", "b": "w"}, "id", 5)
+    tile = lambda c: F.ntile(5).over(Window.orderBy(F.asc_nulls_last(c), "id"))
+    assert rows(got.select("id", "a", "b")) == rows(df.select("id", tile("v"), tile("w")))
+
+
+def test_text_ties_part_behind_their_common_prefix(spark):
+    ids = spark.range(20_000).select(F.format_string("CUST-%07d", F.col("id") * 37).alias("id"))
+    ends = ids.agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("id").alias("rows"))
+    parted = ids.crossJoin(ends).select("id", order_stats._tie_part(ids.schema["id"].dataType, *map(F.col, ("id", "low", "high", "rows"))).alias("part"))
+    counts = [r["count"] for r in parted.groupBy("part").count().orderBy("part").collect()]
+    assert max(counts) <= 0.01 * sum(counts)
+    firsts = [r[0] for r in parted.groupBy("part").agg(F.min("id").alias("i")).orderBy("part").select("i").collect()]
+    assert firsts == sorted(firsts)
+    shared = lambda a, b: spark.range(1).select(order_stats._shared_bytes(F.encode(F.lit(a), "UTF-8"), F.encode(F.lit(b), "UTF-8"))).first()[0]
+    assert [shared("", "a"), shared("", ""), shared("ab", "ab"), shared("ab", "abc"), shared("xa", "xb"), shared("é", "è")] == [0, 0, 2, 2, 1, 1]
+
+
+def test_values_far_from_zero_are_sorted_in_small_parts(spark):
+    """A million values within two millionths of 10^9 meet in parts of under a hundredth of them."""
+    far = spark.range(1_000_000).select((F.lit(1e9) + F.col("id") * 2.5 + F.rand(3)).alias("v"))
+    slot = order_stats.slot_of(F.col("v")).alias("slot")
+    slots = far.groupBy(slot).agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("v").alias("n"))
+    assert slots.count() <= 3
+    placed = far.withColumn("slot", slot).join(F.broadcast(slots), "slot")
+    part = order_stats._part_of(*map(F.col, ("v", "low", "high", "n"))).alias("part")
+    sizes = placed.groupBy("slot", part).agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    found = sizes.orderBy("slot", "part").collect()
+    assert max(r["n"] for r in found) <= 10_000
+    assert all(a["high"] <= b["low"] for a, b in zip(found, found[1:]))
+
+
+def test_far_values_equal_plain_order(spark):
+    rng = random.Random(9)
+    values = [1e9 + rng.choice([rng.uniform(0, 3e6), rng.randrange(40), 1e-3 * rng.randrange(900)]) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(4)
+    got = order_stats.quantiles(df, (), "v", {f"p{i}": i / 20 for i in range(21)}).first()
+    assert list(got) == pytest.approx(list(np.quantile(values, [i / 20 for i in range(21)])), rel=1e-15)
+    for descending in (False, True):
+        totals = order_stats.running_totals(df, (), "v", {"n": F.count(F.lit(1))}, descending)
+        order = sorted(values, reverse=descending)
+        upto = {v: i + 1 for i, v in enumerate(order)}
+        assert {r["v"]: r["n_upto"] for r in totals.collect()} == upto
+
+
 def test_running_totals_equal_window(tied):
     got = order_stats.running_totals(tied, ["grp"], "value", {"n": F.count(F.lit(1))}, descending=True)
     counts = tied.where("value IS NOT NULL").groupBy("grp", "value").agg(F.count(F.lit(1)).alias("n"))
