@@ -17,10 +17,15 @@ may have any name. Empty table: no parts. The table is written once, so a lost e
 
 from __future__ import annotations
 
+import json
+import sys
+import types
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,51 +39,123 @@ END = 1
 TIGHT = 64
 #: Groups whose open sequences are packed together.
 FAN_IN = 64
-#: Texts tokenised at a time, and distinct words a task remembers before it starts afresh.
-TEXTS, REMEMBERED = 500, 400_000
+#: Bytes of text tokenised at a time, stems a worker remembers before it starts afresh, words encoded at once.
+TEXT_BYTES, REMEMBERED, JOINED = 8_000_000, 1_000_000, 50
+# fixed values: letters that stand for themselves in NFC and have one lower-case letter, and those in lower case
+LETTERS = "^[A-Za-zÀ-ÖØ-öø-ÿĀ-įĲ-ňŊ-žЀ-џ]+$"
+PLAIN = "^[a-zß-öø-ÿāăąćĉċčďđēĕėęěĝğġģĥħĩīĭįĳĵķĸĺļľŀłńņňŋōŏőœŕŗřśŝşšţťŧũūŭůűųŵŷźżžа-џ]+$"
+#: A word of letters and one mark; no pattern of the tokenizer spans the two.
+MARKED = r"^\pL+[.,;:!?]$"
 
 SCHEMA = "doc_id {kind}, start long, length long, tokens binary, doc_tokens long, sequence_id long, offset long, task long"
 WIDTH = 4  # bytes of a token: little-endian, unsigned
 
 
 class Words:
-    """Ids of white-space separated words; no token and no normalisation of the tokenizer crosses white space."""
+    """Ids of white-space separated words, each distinct one encoded once; no token and no step of the tokenizer crosses
+    white space, and none a letter before MARKS, so a mark at the end of a word is a word of its own (both are stems).
+
+    Known stems stay in arrays: about 40 bytes each, REMEMBERED at most."""
 
     def __init__(self, model: str):
-        self.tokenizer = Tokenizer.from_str(model)
-        self.tokenizer.encode_special_tokens = True
+        self.full = Tokenizer.from_str(model)
+        self.full.encode_special_tokens = True
+        plain = json.loads(model)
+        cut = {"type": "Split", "pattern": {"String": " "}, "behavior": "Removed", "invert": False}
+        letters = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+        plain |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": [cut, letters]}}
+        #: The same vocabulary and merges for words that normalisation and the pattern leave as they are.
+        self.plain = Tokenizer.from_str(json.dumps(plain))
+        vocabulary = self.full.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.forget()
 
     def forget(self) -> None:
-        self.numbers: dict[bytes, int] = {}
+        self.stems, self.ids = pa.array([""], pa.string()), Store()
+        self.ids.add(np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64))
+
+    def learn(self, stems: pa.StringArray) -> None:
+        """Take in ``stems``, which are new and differ."""
+        easy = pc.match_substring_regex(stems, PLAIN)
+        words, others = stems.filter(easy), stems.filter(pc.invert(easy))
+        listed = words.to_pylist()
+        texts = [" ".join(listed[at : at + JOINED]) for at in range(0, len(listed), JOINED)]
+        flat = np.fromiter(chain.from_iterable(e.ids for e in self.plain.encode_batch_fast(texts, add_special_tokens=False)), np.uint32)
+        ends = np.flatnonzero(self.last[flat]) + 1  # a word of letters is one piece, whose last token says so
+        self.ids.add(flat, np.diff(ends, prepend=0))
+        ids = [e.ids for e in self.full.encode_batch_fast(others.to_pylist(), add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        self.ids.add(np.fromiter(chain.from_iterable(ids), dtype=np.uint32), sizes)
+        self.stems = pa.concat_arrays([self.stems, words, others])
+
+    def places(self, stems: pa.StringArray) -> np.ndarray:
+        """Where the known stems hold ``stems``; unknown ones are learnt."""
+        at = pc.index_in(stems, value_set=self.stems)
+        if at.null_count:
+            known, missing = len(self.stems), pc.is_null(at)
+            unknown = stems.filter(missing)
+            self.learn(unknown.unique())
+            found = pc.index_in(unknown, value_set=self.stems.slice(known))
+            at = pc.replace_with_mask(at, missing, pc.add(found, pa.scalar(known, pa.int32())))
+        return at.to_numpy()
+
+    def encode(self, texts: pa.StringArray) -> list[np.ndarray]:
+        """Per text its ids and END."""
+        if len(self.stems) > REMEMBERED:
+            self.forget()
+        cut = pc.ascii_split_whitespace(texts)
+        coded = cut.flatten().dictionary_encode()
+        words = coded.dictionary
+        marked = pc.match_substring_regex(words, MARKED)
+        stems = pc.if_else(marked, pc.utf8_slice_codeunits(words, 0, -1), words)
+        stems = pc.if_else(pc.match_substring_regex(stems, LETTERS), pc.utf8_lower(stems), stems)
+        marks = pc.if_else(marked, pc.utf8_slice_codeunits(words, -1), "")
+        both = self.places(pa.concat_arrays([stems, marks])).reshape(2, -1).T
+        ids, sizes = self.ids.gather(both.ravel())
+        of_words = Store()
+        of_words.add(ids, sizes.reshape(-1, 2).sum(axis=1))
+        ids, sizes = of_words.gather(coded.indices.to_numpy())
+        ends = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(cut.value_lengths().to_numpy()))]
+        return [np.append(ids[a:b], np.uint32(END)) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def words_of(model: str) -> Words:
+    """One ``Words`` per Python worker: a reused worker knows the words of its earlier tasks. Functions come by value,
+    so what stays with the worker hangs on a module made there."""
+    held = sys.modules.setdefault("_packing_words", types.ModuleType("_packing_words"))
+    if getattr(held, "model", None) != model:
+        held.model, held.words = model, Words(model)
+    return held.words
+
+
+class Store:
+    """Lists of ids after one another."""
+
+    def __init__(self):
         self.starts, self.ids = np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.uint32)
 
-    def learn(self, words: list[bytes]) -> None:
-        made = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
-        first = len(self.numbers)
-        self.numbers.update((w, first + i) for i, w in enumerate(words))
-        sizes = np.fromiter(map(len, made), dtype=np.int64, count=len(made))
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
-        self.ids = np.concatenate([self.ids, *[np.array(ids, dtype=np.uint32) for ids in made]])
+        self.ids = np.concatenate([self.ids, ids])
 
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Per text its ids and END."""
-        if len(self.numbers) > REMEMBERED:
-            self.forget()
-        cut = [text.split() for text in texts]  # on bytes: ASCII white space
-        new = list({w for words in cut for w in words}.difference(self.numbers))
-        if new:
-            self.learn(new)
-        found = []
-        for words in cut:
-            at = np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64, count=len(words))
-            sizes = self.starts[at + 1] - self.starts[at]
-            ends = np.cumsum(sizes)
-            total = int(ends[-1]) if len(ends) else 0
-            ids = np.full(total + 1, END, dtype="<u4")
-            ids[:total] = self.ids[np.arange(total) + np.repeat(self.starts[at] - (ends - sizes), sizes)]
-            found.append(ids)
-        return found
+    def gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the lists ``at``, and how many each has."""
+        sizes = self.starts[at + 1] - self.starts[at]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.arange(total) + np.repeat(self.starts[at] - (ends - sizes), sizes)], sizes
+
+
+def _slices(texts: pa.StringArray) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about TEXT_BYTES; a longer text is one of its own."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy())
+    start = 0
+    while start < len(texts):
+        limit = TEXT_BYTES + (ends[start - 1] if start else 0)
+        stop = max(start + 1, int(np.searchsorted(ends, limit, side="right")))
+        yield start, stop
+        start = stop
 
 
 def parts(length: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -162,20 +239,20 @@ def _first_id(level: int, worker: int) -> int:
 def packed(docs: DataFrame, model: str, capacity: int = CAPACITY) -> DataFrame:
     """One row per part: doc_id, start (tokens of its document before it), length, tokens (little-endian, 4 bytes
     each), doc_tokens, sequence_id and offset there. ``model`` is the JSON text of the tokenizer."""
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     schema = SCHEMA.format(kind=rows.schema["doc_id"].dataType.simpleString())
     shared = rows.sparkSession.sparkContext.broadcast(model)  # the tokenizer's own size
 
     def tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, bins = Words(shared.value), None
+        words, bins = words_of(shared.value), None
         for batch in batches:
             if bins is None:
                 worker = TaskContext.get().partitionId()
                 bins = Bins(_arrow(batch.schema.field("doc_id").type), worker, _first_id(0, worker))
-            for at in range(0, batch.num_rows, TEXTS):
-                few = batch.slice(at, TEXTS)
-                for key, ids in zip(few.column("doc_id").to_pylist(), words.encode(few.column("text").to_pylist()), strict=True):
-                    start, raw = 0, ids.tobytes()
+            for at, stop in _slices(batch.column("text")):
+                few = batch.slice(at, stop - at)
+                for key, ids in zip(few.column("doc_id").to_pylist(), words.encode(few.column("text")), strict=True):
+                    start, raw = 0, ids.astype("<u4").tobytes()
                     for length, fits in parts(len(ids), capacity):
                         bins.put((key, start, length, raw[start * WIDTH : (start + length) * WIDTH], len(ids)), fits)
                         start += length
