@@ -9,10 +9,11 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions import scoring
+from mercato.functions.cycles import donors
 from mercato.functions.numbers import mean, mean_days, per
 from mercato.functions.order_stats import positioned, quantiles
 from mercato.functions.profile import box_summary, describe, melted, missing_counts, with_share
@@ -36,7 +37,6 @@ UPPER_PERCENTILES = (0.5, 0.75, 0.9, 0.95, 0.99)
 CLASS_NAMES = ("Score 3–5", "Score 1–2")
 PRIOR, LOGISTIC, FOREST = "Dummy Classifier", "Logistic Regression", "Random Forest"
 OUTCOMES = {(0, 0): "True Negative", (0, 1): "False Positive", (1, 0): "False Negative", (1, 1): "True Positive"}
-BLOCK_ROWS = 10_000  # rows per permutation block
 
 
 def _review_group() -> Column:
@@ -314,30 +314,30 @@ class LowReviewStudy:
         table = spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
         return table if size is None else table.limit(size)
 
+    def shuffle_jobs(self, repeats: int) -> DataFrame:
+        """(job, order_id, number, text): for every raw column and repeat the value that is to be shuffled."""
+        columns = NUMERIC + CATEGORICAL
+        number = [F.col(c) if c in NUMERIC else F.lit(None).cast("double") for c in columns]
+        text = [F.col(c) if c in CATEGORICAL else F.lit(None).cast("string") for c in columns]
+        values = F.array(*[F.struct(n.alias("number"), t.alias("text")) for n, t in zip(number, text, strict=True)])
+        each = self.prepared(self.test).select("order_id", F.posexplode(values).alias("feature", "value"))
+        turns = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))
+        return each.withColumn("turn", turns).select((F.col("feature") * repeats + F.col("turn")).alias("job"), "order_id", "value.*")
+
     def permutation_importance(self, repeats: int = 10) -> DataFrame:
         """Loss of average precision when one raw column is shuffled, mean and deviation.
 
-        Every (column, repeat) job permutes inside random blocks of about BLOCK_ROWS rows: rows meet
-        in a block by a hash of the job, and each takes the value of the next row in a random cycle.
-        All jobs are scored in one pass.
+        In every (column, repeat) job each row takes the value of the next row of one random cycle through
+        all test rows; only id, job and that one value travel, and the other columns are joined when the
+        rows are scored. All jobs are scored in one pass.
         """
         columns = NUMERIC + CATEGORICAL
-        jobs = [(c, r) for c in columns for r in range(repeats)]
-        blocks = F.greatest(F.lit(1), F.ceil(self.test.agg(F.count(F.lit(1))).scalar() / BLOCK_ROWS))
-        rows = self.prepared(self.test).withColumn("blocks", blocks)
-        each = rows.withColumn("job", F.explode(F.sequence(F.lit(0), F.lit(len(jobs) - 1))))
-        each = each.withColumn(
-            "block", F.pmod(F.xxhash64("order_id", "job", F.lit(self.seed)), F.col("blocks"))
-        ).withColumn("mix", F.xxhash64("order_id", "job", F.lit(self.seed + 1)))
-        cycle = Window.partitionBy("job", "block").orderBy("mix", "order_id")
-        full = cycle.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        names = F.array(*[F.lit(c) for c, _ in jobs])
-        each = each.withColumn("feature", F.get(names, F.col("job")))
-        donors = {
-            c: F.when(F.col("feature") == c, F.coalesce(F.lead(c).over(cycle), F.first(c).over(full))).otherwise(F.col(c))
-            for c in columns
-        }
-        shuffled = each.withColumns(donors)
+        given = donors(self.shuffle_jobs(repeats), "job", "order_id", ["number", "text"], self.seed + 1)
+        names = F.array(*[F.lit(c) for c in columns])
+        given = given.drop("donor").withColumn("feature", F.get(names, F.floor(F.col("job") / repeats).cast("int")))
+        each = self.prepared(self.test).join(given, "order_id")
+        own = {c: F.col("number") if c in NUMERIC else F.col("text") for c in columns}
+        shuffled = each.withColumns({c: F.when(F.col("feature") == c, own[c]).otherwise(F.col(c)) for c in columns})
         scored = self.forest.transform(shuffled).select(
             "feature", "job", F.col("is_low_review").alias("label"), vector_to_array("probability")[1].alias("score")
         )

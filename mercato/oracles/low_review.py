@@ -98,7 +98,60 @@ FILL = "\nUNION ALL\n".join(
     ]
 )
 
+
+def filled(source: str) -> str:
+    """``source`` with the training medians and most frequent categories in place of missing values, categories as text."""
+    numbers = [f"IFNULL({c}, (SELECT {quant(c, 0.5)} FROM train))::DOUBLE AS {c}" for c in NUMERIC]
+    texts = [f"IFNULL({c}::VARCHAR, ({COMMON.format(c)})) AS {c}" for c in CATEGORIES]
+    return f"SELECT {', '.join(numbers + texts)} FROM {source}"
+
+
+CATEGORIES = ("is_delayed", "customer_state")
+COMMON = "SELECT {0}::VARCHAR FROM train WHERE {0} IS NOT NULL GROUP BY {0} ORDER BY COUNT(*) DESC, {0} LIMIT 1"
+LABELS = "\nUNION ALL\n".join(f"SELECT '{c}' AS name, {c} AS label FROM full_train GROUP BY {c}" for c in CATEGORIES)
+PREPARED = {"full_train": filled("train"), "full_test": filled("test"), "labels": LABELS}
+
+
+def prepared(body: str) -> str:
+    return sql(body, **FRAME, **PREPARED)
+
+
 ORACLES = {
+    # properties of the fitted models: what has to hold for every right fit, over counts and names from the data
+    "l5_scaled_numbers": "\nUNION ALL\n".join(f"SELECT '{c}' AS feature, 0.0::DOUBLE AS mean, 1.0::DOUBLE AS deviation" for c in NUMERIC),
+    "l6_category_flags": prepared(
+        "\nUNION ALL\n".join(
+            f"""SELECT '{c}' AS feature, COUNT(*) FILTER (WHERE {c} IN (SELECT label FROM labels WHERE name = '{c}')) AS one_flag,
+            COUNT(*) FILTER (WHERE {c} NOT IN (SELECT label FROM labels WHERE name = '{c}')) AS no_flag, 0::BIGINT AS other
+            FROM full_test"""
+            for c in CATEGORIES
+        )
+    ),
+    "l7_vector_slots": prepared(
+        "\nUNION ALL\n".join(
+            [f"SELECT '{c}' AS feature, {r6(f'SUM({c})')} AS total FROM full_test" for c in NUMERIC]
+            + [
+                f"""SELECT '{c}_' || label AS feature, (SELECT COUNT(*) FROM full_test WHERE {c} = label)::DOUBLE AS total
+                FROM labels WHERE name = '{c}'"""
+                for c in CATEGORIES
+            ]
+        )
+    ),
+    "l9_logistic_gradient": prepared(
+        "SELECT '(intercept)' AS feature, 0.0::DOUBLE AS gradient UNION ALL SELECT name || '_' || label, 0.0::DOUBLE FROM labels"
+        + "".join(f" UNION ALL SELECT '{c}', 0.0::DOUBLE" for c in NUMERIC)
+    ),
+    "l10_forest_walk": low("SELECT COUNT(*) AS orders_checked, 0::BIGINT AS wrong_orders FROM test"),
+    "l16_importance_check": prepared(
+        f"SELECT {len(NUMERIC)} + COUNT(*) AS features_checked, 0::BIGINT AS wrong_features, 1.0::DOUBLE AS importance_sum FROM labels"
+    ),
+    "l17_cycle_check": low(
+        "\nUNION ALL\n".join(
+            f"""SELECT '{c}' AS feature, unnest(range(10)) AS repeat, COUNT(*) AS orders_checked, COUNT(*) AS donors,
+            0::BIGINT AS own_values FROM test"""
+            for c in [*NUMERIC, *CATEGORIES]
+        )
+    ),
     "l1_model_frame": low(
         f"""SELECT * REPLACE (CAST(order_value AS DOUBLE) AS order_value, CAST(products_value AS DOUBLE) AS products_value,
         CAST(freight_value AS DOUBLE) AS freight_value, CAST(payment_value AS DOUBLE) AS payment_value,

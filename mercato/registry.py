@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from mercato.functions.numbers import rounded
 from mercato.functions import scoring
 from mercato.market import Market
-from mercato.operators import cohort, dashboard, eda, experiment, low_review, marts, product, quality, rfm, statistics
+from mercato.operators import cohort, dashboard, eda, experiment, low_review, marts, model_checks, product, quality, rfm, statistics
 from mercato.schema import RAW_TABLES
 from mercato.session import scratch_path
 from mercato.sources import csv_ingest, warehouse
@@ -226,6 +226,13 @@ def all_queries() -> dict[str, Query]:
         "l4_split_summary": lambda m: study_of(m).split_summary(),
         "l4_split_overlap": lambda m: study_of(m).split_overlap(),
         "l5_fill_values": lambda m: study_of(m).fill_values(),
+        "l5_scaled_numbers": lambda m: model_checks.scaled_numbers(study_of(m)),
+        "l6_category_flags": lambda m: model_checks.category_flags(study_of(m)),
+        "l7_vector_slots": lambda m: model_checks.vector_slots(study_of(m)),
+        "l9_logistic_gradient": lambda m: model_checks.logistic_gradient(study_of(m)),
+        "l10_forest_walk": lambda m: model_checks.forest_walk(study_of(m)),
+        "l16_importance_check": lambda m: model_checks.importance_check(study_of(m)),
+        "l17_cycle_check": lambda m: model_checks.cycle_check(study_of(m)),
         "l8_prior_metrics": lambda m: study_of(m).prior_metrics(),
         "l9_logistic_metrics": lambda m: study_of(m).comparison([low_review.LOGISTIC]),
         "l10_forest_metrics": lambda m: study_of(m).comparison([low_review.FOREST]),
