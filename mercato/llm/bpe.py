@@ -1,14 +1,15 @@
 """Byte-level BPE encoding and decoding by recursive DuckDB queries inside the partitions.
 
 A text is cut by the tokenizer's pattern; a piece that is a token as a whole is that token. The other
-pieces, each distinct one once per task, become rows (piece, position, token). A recursive query joins
-adjacent tokens with the merge table, finds every piece's pair of least rank, the leftmost of equals, and
-contracts it, until no piece has a pair left. Decoding joins the ids with the vocabulary and gathers the
-bytes in order of position.
+pieces, each distinct one once per Python worker, become rows (piece, position, token). A recursive query finds
+every piece's adjacent pair of least rank, the leftmost of equals, and contracts it, until no piece has a pair left.
+Its state is keyed by piece and position: a contraction rewrites the rows it touches, so the state never
+outgrows the pieces' bytes. Decoding joins the ids with the vocabulary and gathers the bytes in order of position.
 
-Spark partitions the texts; DuckDB is a library inside a task, fed ``CHUNK`` pieces at a time, so memory does
-not depend on the partition. Pieces above ``LONG`` bytes take a linear list instead of rows, because a
-recursion of one contraction per step is quadratic in the piece; the order of contractions is the same.
+Spark partitions the texts; DuckDB is a library inside a task, fed ``CHUNK_BYTES`` of pieces, shortest first, or
+``CHUNK_TOKENS`` ids at a time, so its memory depends neither on the partition nor on a text. Pieces above ``LONG``
+bytes take a linear list instead of rows, because a recursion of one contraction per step is quadratic in the
+piece; the order of contractions is the same. The pieces of one text and their numbers have to fit a task.
 
 Nulls: a null text is empty; an empty text has no ids and decodes to no bytes. Repeated rows are encoded
 alike. Other columns are kept unless they have the name of a result column. Empty table: empty result.
@@ -17,9 +18,11 @@ alike. Other columns are kept unless they have the name of a result column. Empt
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import re
 import sys
+import types
 import unicodedata
 from collections.abc import Callable, Iterator
 from itertools import chain
@@ -28,42 +31,43 @@ from typing import NamedTuple
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, StructField, StructType
 
-#: Distinct pieces that one recursive query contracts.
-CHUNK = 32_768
+#: Bytes of pieces that one recursive query contracts, and ids that one query decodes.
+CHUNK_BYTES, CHUNK_TOKENS = 100_000, 500_000
 LONG = 512
-REMEMBERED = 400_000
+#: Pieces that a worker remembers before it starts afresh, and bytes of text it encodes at a time.
+REMEMBERED, TEXT_BYTES = 1_000_000, 2_000_000
+ROWS = 500  # texts of one step
 MEMORY = "400MB"
+NO_PAIR = 2**31 - 1
 Run = Callable[["Codec", pa.RecordBatch], pa.Array]
 
-CONTRACT = """
-WITH RECURSIVE state AS (
-  SELECT 0 AS step, w, pos, tok, nxt, npos FROM start
-  UNION ALL
-  SELECT n.step + 1, n.w, n.pos,
-         CASE WHEN n.pos = b.pos THEN b.rank ELSE n.tok END,
-         CASE WHEN n.pos = b.pos THEN b.after WHEN n.npos = b.pos THEN b.rank ELSE n.nxt END,
-         CASE WHEN n.pos = b.pos THEN b.after_pos ELSE n.npos END
-  FROM state n
-  JOIN (SELECT c.w, c.pos, c.npos, c.rank, q.nxt AS after, q.npos AS after_pos
-        FROM (SELECT w, (min(least_pair) % 4294967296)::INTEGER AS pos,
-                     (min(least_pair) // 4294967296)::INTEGER AS rank, arg_min(npos, least_pair) AS npos
-              FROM (SELECT p.w, p.npos, m.rank::BIGINT * 4294967296 + p.pos AS least_pair
-                    FROM state p JOIN merges m ON m.pair = p.tok::BIGINT * 4294967296 + p.nxt)
-              GROUP BY w) c
-        JOIN state q ON q.w = c.w AND q.pos = c.npos) b
-    ON n.w = b.w AND n.pos <> b.npos
+# state: token at a position (-1: contracted away), the next token and its position, and the rank of the pair
+CONTRACT = f"""
+WITH RECURSIVE state(w, pos, tok, npos, nxt, rank) USING KEY (w, pos) AS (
+  SELECT s.w, s.pos, s.tok, s.npos, s.nxt, coalesce(m.rank, {NO_PAIR})
+  FROM start s LEFT JOIN merges m ON m.pair = s.tok::BIGINT * 4294967296 + s.nxt
+  UNION
+  SELECT u.w, u.pos, u.tok, u.npos, u.nxt, coalesce(m.rank, {NO_PAIR})
+  FROM (
+    SELECT b.w, unnest([b.pos, b.npos, p.pos]) AS pos, unnest([b.rank, -1, p.tok]) AS tok,
+           unnest([r.npos, -1, p.npos]) AS npos, unnest([r.nxt, -1, b.rank]) AS nxt
+    FROM (SELECT w, (min(least) % 4294967296)::INTEGER AS pos, (min(least) // 4294967296)::INTEGER AS rank,
+                 arg_min(npos, least) AS npos
+          FROM (SELECT w, npos, rank::BIGINT * 4294967296 + pos AS least FROM recurring.state WHERE rank < {NO_PAIR})
+          GROUP BY w) b
+    JOIN recurring.state r ON r.w = b.w AND r.pos = b.npos
+    LEFT JOIN recurring.state p ON p.w = b.w AND p.npos = b.pos AND p.tok >= 0
+  ) u LEFT JOIN merges m ON m.pair = u.tok::BIGINT * 4294967296 + u.nxt
+  WHERE u.pos IS NOT NULL
 )
-SELECT w, list(tok ORDER BY pos) AS ids
-FROM state JOIN (SELECT w, max(step) AS step FROM state GROUP BY w) USING (w, step)
-GROUP BY w ORDER BY w
-"""
-DECODE = """
-SELECT w, list(v.bytes ORDER BY pos) AS parts FROM encoded JOIN vocabulary v USING (id) GROUP BY w ORDER BY w
+SELECT w, list(tok ORDER BY pos) AS ids FROM state WHERE tok >= 0 GROUP BY w ORDER BY w
 """
+DECODE = "SELECT list(v.bytes ORDER BY pos) AS parts FROM encoded JOIN vocabulary v USING (id)"
 
 
 def piece_patterns() -> tuple[np.ndarray, str, str]:
@@ -98,13 +102,15 @@ class Tokenizer(NamedTuple):
     patterns: tuple[np.ndarray, str, str]
     pairs: np.ndarray
     merged: np.ndarray
+    key: str
 
 
 def tokenizer(path: str) -> Tokenizer:
     """From a file of lines ``base64 rank``. Any two tokens whose bytes together are a token are a pair
     (left * 2^32 + right) with that token as rank."""
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    with open(path, "rb") as file:
+        content = file.read()
+    ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, content.splitlines())}
     pairs = {
         left << 32 | right: rank
         for token, rank in ranks.items()
@@ -112,7 +118,7 @@ def tokenizer(path: str) -> Tokenizer:
         if (left := ranks.get(token[:at])) is not None and (right := ranks.get(token[at:])) is not None
     }
     numbers = np.array(list(pairs), dtype=np.int64), np.array(list(pairs.values()), dtype=np.int32)
-    return Tokenizer(ranks, piece_patterns(), *numbers)
+    return Tokenizer(ranks, piece_patterns(), *numbers, hashlib.sha256(content).hexdigest())
 
 
 def contracted(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -147,7 +153,7 @@ def contracted(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Codec:
-    """One task's DuckDB database with the merge table, and the pieces it has encoded."""
+    """One worker's DuckDB database with the merge table, and the pieces it has encoded."""
 
     def __init__(self, source: Tokenizer):
         ranks = self.ranks = source.ranks
@@ -156,6 +162,9 @@ class Codec:
         self.rare = np.zeros(sys.maxunicode + 1, dtype=bool)
         self.rare[rare] = True
         self.bytes = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
+        self.lengths = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
+        for token, rank in ranks.items():
+            self.lengths[rank] = len(token)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""})
         merges = pa.table({"pair": source.pairs, "rank": source.merged})
         words = pa.table({"id": pa.array(ranks.values(), pa.int32()), "bytes": pa.array(ranks.keys(), pa.binary())})
@@ -166,7 +175,7 @@ class Codec:
         self.forget()
 
     def forget(self) -> None:
-        self.numbers: dict[str, int] = {}
+        self.pieces = pa.array([], pa.string())
         self.starts = np.zeros(1, dtype=np.int64)  # of the ids of piece i, and one more
         self.ids = np.zeros(0, dtype=np.int32)
 
@@ -191,26 +200,43 @@ class Codec:
         ids = self.query("start", start, CONTRACT)["ids"].combine_chunks()
         return ids.flatten().to_numpy(), np.diff(ids.offsets.to_numpy())
 
-    def learn(self, pieces: list[str]) -> None:
-        """Number the pieces and keep their ids."""
-        raw = [p.encode("utf-8", "surrogatepass") for p in pieces]
+    def learn(self, pieces: pa.StringArray) -> None:
+        """Take in ``pieces``, which are new and differ, with their ids."""
+        raw = pieces.cast(pa.binary()).to_pylist()
         order: list[list[int]] = [[], [], []]
         for i, piece in enumerate(raw):
             order[0 if piece in self.ranks else 1 if len(piece) > LONG else 2].append(i)
         whole, long, rest = order
+        rest.sort(key=lambda i: len(raw[i]))  # pieces of one length need about as many steps
         ids = [np.array([self.ranks[raw[i]] for i in whole], dtype=np.int32)]
         counts = [np.ones(len(whole), dtype=np.int64)]
         for i in long:
             made = contracted(raw[i], self.ranks)
             ids.append(np.array(made, dtype=np.int32)), counts.append(np.array([len(made)]))
-        for at in range(0, len(rest), CHUNK):
-            made, sizes = self.contract([raw[i] for i in rest[at : at + CHUNK]])
+        ends = np.cumsum([len(raw[i]) for i in rest])
+        at = 0
+        while at < len(rest):
+            stop = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK_BYTES, side="right"))
+            made, sizes = self.contract([raw[i] for i in rest[at:stop]])
             ids.append(made), counts.append(sizes)
-        first = len(self.numbers)
-        self.numbers.update((pieces[i], first + k) for k, i in enumerate([*whole, *long, *rest]))
+            at = stop
+        self.pieces = pa.concat_arrays([self.pieces, pieces.take(pa.array([*whole, *long, *rest], pa.int64()))])
         self.ids = np.concatenate([self.ids, *ids])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate(counts))])
 
+    def places(self, pieces: pa.StringArray) -> np.ndarray:
+        """The numbers of ``pieces``, which differ; unknown ones are learnt."""
+        if len(self.pieces) > REMEMBERED:
+            self.forget()
+        at = pc.index_in(pieces, value_set=self.pieces)
+        if at.null_count:
+            known, missing = len(self.pieces), pc.is_null(at)
+            unknown = pieces.filter(missing)
+            self.learn(unknown)
+            found = pc.index_in(unknown, value_set=self.pieces.slice(known))
+            at = pc.replace_with_mask(at, missing, pc.add(found, pa.scalar(known, pa.int32())))
+        return at.to_numpy()
+
     def cutter(self, text: str) -> re.Pattern[str]:
         if text.isascii():
             return self.common
@@ -218,15 +244,21 @@ class Codec:
         return self.full if self.rare[points].any() else self.common
 
     def encode(self, texts: list[str]) -> pa.ListArray:
-        if len(self.numbers) > REMEMBERED:
-            self.forget()
+        """The ids of the texts, TEXT_BYTES of them at a time."""
+        found, start, held = [], 0, 0
+        for i, text in enumerate(texts):
+            if held and held + len(text) > TEXT_BYTES:
+                found.append(self.encode_some(texts[start:i]))
+                start, held = i, 0
+            held += len(text)
+        found.append(self.encode_some(texts[start:]))
+        return pa.concat_arrays(found)
+
+    def encode_some(self, texts: list[str]) -> pa.ListArray:
         cut = [self.cutter(t).findall(t) for t in texts]
-        new = list({p for pieces in cut for p in pieces if p not in self.numbers})
-        if new:
-            self.learn(new)
         per_text = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
-        look = self.numbers.__getitem__
-        pieces = np.fromiter(map(look, chain.from_iterable(cut)), dtype=np.int64, count=per_text.sum())
+        coded = pa.array(list(chain.from_iterable(cut)), pa.string()).dictionary_encode()
+        pieces = self.places(coded.dictionary)[coded.indices.to_numpy()]
         sizes = self.starts[pieces + 1] - self.starts[pieces]
         ends = np.cumsum(sizes)
         # the k-th id of a piece stands at its start + k
@@ -235,22 +267,31 @@ class Codec:
         return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(self.ids[flat], pa.int32()))
 
     def decode(self, ids: pa.ListArray) -> pa.BinaryArray:
+        """The bytes of the ids, CHUNK_TOKENS of them at a time whatever text they belong to."""
         sizes = np.asarray(ids.value_lengths().fill_null(0), dtype=np.int64)
-        ends = np.cumsum(sizes)
-        place = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes)
-        owner = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
-        rows = pa.table({"w": owner, "pos": place.astype(np.int32), "id": ids.flatten()})
-        found = self.query("encoded", rows, DECODE)
-        parts = found["parts"].combine_chunks()
-        # the parts of one text follow each other in the buffer: its bytes are one slice
-        bytes_at = np.frombuffer(parts.values.buffers()[1], dtype=np.int32) if len(parts) else np.zeros(1, np.int32)
-        edges = bytes_at[parts.values.offset :][parts.offsets.to_numpy()] if len(parts) else np.zeros(1, np.int32)
-        lengths = np.zeros(len(ids), dtype=np.int64)
-        lengths[found["w"].to_numpy()] = np.diff(edges)
-        offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
-        data = parts.values.buffers()[2] if len(parts) else pa.py_buffer(b"")
-        data = data.slice(int(edges[0])) if len(parts) else data
-        return pa.BinaryArray.from_buffers(pa.binary(), len(ids), [None, offsets.buffers()[1], data])
+        flat = ids.flatten()
+        data = []
+        for at in range(0, len(flat), CHUNK_TOKENS):
+            part = flat.slice(at, CHUNK_TOKENS)
+            rows = pa.table({"pos": np.arange(len(part), dtype=np.int32), "id": part})
+            parts = self.query("encoded", rows, DECODE)["parts"].combine_chunks().flatten()
+            # the parts come by position: their bytes follow each other in the buffer, whatever text they belong to
+            first, last = (np.frombuffer(parts.buffers()[1], dtype=np.int32)[parts.offset + i] for i in (0, len(parts)))
+            data.append(parts.buffers()[2].slice(int(first), int(last - first)).to_pybytes())
+        lengths = np.append(0, np.cumsum(self.lengths[flat.to_numpy()]))
+        edges = lengths[np.append(0, np.cumsum(sizes))]
+        offsets = pa.array(edges, pa.int32())
+        return pa.BinaryArray.from_buffers(pa.binary(), len(ids), [None, offsets.buffers()[1], pa.py_buffer(b"".join(data))])
+
+
+def codec_of(shared: tuple) -> Codec:
+    """One ``Codec`` per Python worker: a reused worker knows the pieces of its earlier tasks. Functions come by value,
+    so what stays with the worker hangs on a module made there."""
+    source = Tokenizer(*shared)
+    held = sys.modules.setdefault("_bpe_codec", types.ModuleType("_bpe_codec"))
+    if getattr(held, "key", None) != source.key:
+        held.key, held.codec = source.key, Codec(source)
+    return held.codec
 
 
 def _mapped(df: DataFrame, tokens: Tokenizer, target: str, kind: DataType, rows: int, run: Run) -> DataFrame:
@@ -259,7 +300,7 @@ def _mapped(df: DataFrame, tokens: Tokenizer, target: str, kind: DataType, rows:
     shared = df.sparkSession.sparkContext.broadcast(tuple(tokens))  # the tokenizer's own size
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(Tokenizer(*shared.value))
+        codec = codec_of(shared.value)
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
@@ -274,9 +315,9 @@ def encoded(docs: DataFrame, tokens: Tokenizer, text: str = "text") -> DataFrame
     def run(codec: Codec, batch: pa.RecordBatch) -> pa.Array:
         return codec.encode([t or "" for t in batch.column(text).to_pylist()])
 
-    return _mapped(docs, tokens, "ids", ArrayType(IntegerType()), 500, run)
+    return _mapped(docs, tokens, "ids", ArrayType(IntegerType()), ROWS, run)
 
 
 def decoded(docs: DataFrame, tokens: Tokenizer, ids: str = "ids") -> DataFrame:
     """``docs`` with ``decoded``, the bytes of the ids."""
-    return _mapped(docs, tokens, "decoded", BinaryType(), 500, lambda codec, batch: codec.decode(batch.column(ids)))
+    return _mapped(docs, tokens, "decoded", BinaryType(), ROWS, lambda codec, batch: codec.decode(batch.column(ids)))
