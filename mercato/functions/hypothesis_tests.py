@@ -56,9 +56,11 @@ def cohens_d(df: DataFrame, value: str, first: Column) -> DataFrame:
     return two_samples(df, value, first).withColumn("d", per(_c("mean1") - _c("mean2"), F.sqrt(pooled)))
 
 
-def mann_whitney(df: DataFrame, value: str, first: Column, alternative: str = "two-sided") -> DataFrame:
-    """U of the first group and the z score of the tail that the alternative names."""
-    ranked = mid_ranks(df, value, {"own": F.count_if(first)})
+def mann_whitney(
+    df: DataFrame, value: str, first: Column, alternative: str = "two-sided", few: bool = False
+) -> DataFrame:
+    """U of the first group and the z score of the tail that the alternative names; ``few`` as in ``mid_ranks``."""
+    ranked = mid_ranks(df, value, {"own": F.count_if(first)}, few=few)
     ties = F.col("n").cast("double")
     sums = ranked.agg(
         F.sum("own").alias("n1"),
@@ -120,42 +122,50 @@ def _with_t(result: DataFrame) -> DataFrame:
     return result.select("n", "r", t.alias("t"), free.alias("df"))
 
 
-def kruskal(df: DataFrame, value: str, group: str, count: Column | None = None) -> DataFrame:
+def kruskal(df: DataFrame, value: str, group: str, count: Column | None = None, few: bool = False) -> DataFrame:
     """Tie-corrected H over the groups, its degrees of freedom and epsilon squared.
 
-    Everything follows from the counts per (group, value); ``count`` replaces the row count when
-    rows already carry multiplicities.
+    Everything follows from the counts per (group, value); ``count`` replaces the row count when rows already carry
+    multiplicities. Ranks count from the middle and doubled, so they and their sums are whole numbers, as is the
+    correction for ties, and H is no difference of large numbers.
     """
     cells = (
         df.where(_c(value).isNotNull() & _c(group).isNotNull())
         .groupBy(_c(group).alias("g"), _c(value).alias("v"))
         .agg((F.count(F.lit(1)) if count is None else count).alias("cell"))
     )
-    ranked = mid_ranks(cells, "v", count=F.sum("cell")).select("v", "rank", F.col("n").cast("double").alias("t"))
+    whole = lambda c: _c(c).cast("decimal(19,0)")
+    ranked = mid_ranks(cells, "v", count=F.sum("cell"), few=few)
+    ranked = ranked.select("v", (2 * _c("n_upto") - _c("n") - _c("n_total")).alias("place"), _c("n").alias("t"))
     groups = (
         cells.join(ranked, "v")
         .groupBy("g")
         .agg(
-            F.sum(_c("cell") * _c("rank")).alias("rank_sum"),
+            F.sum(whole("cell") * whole("place")).alias("place_sum"),
             F.sum("cell").alias("size"),
-            F.sum(_c("cell") * (_c("t") * _c("t") - 1)).alias("tied"),  # adds up to the sum of t^3 - t
+            F.sum(_cubed(_c("cell"), _c("t"))).alias("tied"),  # adds up to the sum of t^3 - t
         )
     )
+    sums = groups.agg(
+        F.sum("size").alias("n"),
+        F.count(F.lit(1)).alias("k"),
+        F.sum(_c("place_sum").cast("double") * _c("place_sum").cast("double") / _c("size")).alias("squares"),
+        F.sum("tied").alias("ties"),
+    )
     n = _c("n").cast("double")
-    raw = 12 / (n * (n + 1)) * _c("squares") - 3 * (n + 1)
-    h = per(raw, 1 - per(_c("ties"), n * n * n - n))
-    return (
-        groups.agg(
-            F.sum("size").alias("n"),
-            F.count(F.lit(1)).alias("k"),
-            F.sum(_c("rank_sum") * _c("rank_sum") / _c("size")).alias("squares"),
-            F.sum("tied").alias("ties"),
-        )
-        .select("n", "k", h.alias("h"), (_c("k") - 1).alias("df"))
-        .withColumn("epsilon_squared", per(_c("h") - _c("k") + 1, _c("n") - _c("k")))
+    untied = (_cubed(_c("n"), _c("n")) - _c("ties")).cast("double") / _cubed(_c("n"), _c("n")).cast("double")
+    h = per(3 / (n * (n + 1)) * _c("squares"), untied)
+    return sums.select("n", "k", h.alias("h"), (_c("k") - 1).alias("df")).withColumn(
+        "epsilon_squared", per(_c("h") - _c("k") + 1, _c("n") - _c("k"))
     )
 
 
+def _cubed(part: Column, size: Column) -> Column:
+    """part * (size^2 - 1) as a whole number: exact up to 10^12 rows."""
+    part, size = part.cast("decimal(12,0)"), size.cast("decimal(12,0)")
+    return (part * (size * size - 1).cast("decimal(24,0)")).cast("decimal(38,0)")
+
+
 def with_chi2_p(result: DataFrame, statistic: str = "h", name: str = "p_value") -> DataFrame:
     return result.withColumn(name, chi2_p(_c(statistic), _c("df")))
 

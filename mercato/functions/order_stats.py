@@ -224,13 +224,22 @@ def mid_ranks(
     weights: Mapping[str, Column] | None = None,
     count: Column | None = None,
     unit: float = 1.0,
+    few: bool = False,
 ) -> DataFrame:
     """Distinct values with their count ``n``, mid-rank ``rank`` and population size ``n_total``.
 
-    ``count`` replaces the row count when rows already carry multiplicities.
+    ``count`` replaces the row count when rows already carry multiplicities. ``few`` says that the values have a
+    small domain, such as averages of a five-point score: their counts then go through one plain window.
     """
     counts = {"n": F.count(F.lit(1)) if count is None else count, **(weights or {})}
-    ranked = running_totals(df, (), value, counts, unit=unit)
+    if few:
+        per_value = df.where(F.col(value).isNotNull()).groupBy(value).agg(*[w.alias(name) for name, w in counts.items()])
+        upto, whole = Window.orderBy(value), Window.partitionBy()
+        ranked = per_value.withColumns(
+            {f"{w}_upto": F.sum(w).over(upto) for w in counts} | {f"{w}_total": F.sum(w).over(whole) for w in counts}
+        )
+    else:
+        ranked = running_totals(df, (), value, counts, unit=unit)
     return ranked.withColumn("rank", F.col("n_upto") - F.col("n") + (F.col("n") + 1) / 2)
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions.numbers import months_apart, per
-from mercato.functions.order_stats import quantiles
 from mercato.functions.profile import all_labels
 from mercato.market import Market
 from mercato.operators.marts import customer_months
@@ -114,15 +113,11 @@ def horizon_long(m: Market, months: Months | None = None, horizons: Sequence[int
 def retention_summary(m: Market, months: Months | None = None, horizons: Sequence[int] = HORIZONS) -> DataFrame:
     """Mean, median and number of cohorts per horizon; unobserved horizons keep a row."""
     long = horizon_long(m, months, horizons)
-    moments = long.groupBy("retention_period").agg(
-        (F.avg("retention_rate") * 100).alias("average_retention_percent"), F.count(F.lit(1)).alias("cohorts_count")
-    )
-    middle = quantiles(long, ["retention_period"], "retention_rate", {"median": 0.5}, unit=1e-4)
-    table = moments.join(middle, "retention_period").select(
-        "retention_period",
-        "average_retention_percent",
-        (F.col("median") * 100).alias("median_retention_percent"),
-        "cohorts_count",
+    # one rate per month and horizon: the exact percentile holds no more values than there are months
+    table = long.groupBy("retention_period").agg(
+        (F.avg("retention_rate") * 100).alias("average_retention_percent"),
+        (F.percentile("retention_rate", F.lit(0.5)) * 100).alias("median_retention_percent"),
+        F.count(F.lit(1)).alias("cohorts_count"),
     )
     full = all_labels(table, [f"Month {h}" for h in horizons], "retention_period", ["cohorts_count"])
     return full.drop("bin_order")

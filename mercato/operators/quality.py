@@ -6,7 +6,7 @@ key with very many children still reaches the anti join as a single row.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -163,29 +163,75 @@ def geolocation_duplicates(m: Market) -> DataFrame:
     return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
-def constraint_violations(m: Market) -> DataFrame:
-    """DQ14: NOT NULL, value rules, unique keys and references of every table as violation counts."""
-    frames = []
-    for name, spec in RAW_TABLES.items():
-        checks = {f"not_null:{c}": F.col(c).isNull() for c in spec.required}
-        checks |= {rule: F.expr(predicate) for rule, predicate in spec.rules}
-        counts = m.raw(name).agg(*[F.count_if(bad).alias(rule) for rule, bad in checks.items()])
-        frames.append(counts.unpivot([], list(checks), "rule", "violations").withColumn("table_name", F.lit(name)))
-        if spec.key:
-            keys = _key_report(m.raw(name), name, spec.key, "table_name")
-            frames.append(
-                keys.select(
-                    "table_name",
-                    F.concat(F.lit("unique:"), "key").alias("rule"),
-                    (F.col("total_rows") - F.col("distinct_keys")).alias("violations"),
-                )
-            )
-    orphans = orphan_rows(m).select(
-        F.col("child").alias("table_name"),
-        F.concat(F.lit("references:"), "column").alias("rule"),
-        F.col("orphans").alias("violations"),
+def _text_parts(columns: Sequence[str], width: int) -> list[Column]:
+    """Key parts as text, filled up with NULL; a lone key part and a NULL stay apart from the text 'null'."""
+    parts = [F.col(c).cast("string") for c in columns]
+    return [*parts, *[F.lit(None).cast("string")] * (width - len(parts))]
+
+
+def _table_violations(m: Market, name: str) -> DataFrame:
+    """All violation counts of one table in one pass over it.
+
+    Every row appears once for its own key, carrying its rule flags, and once for each reference. Counts per value are
+    formed on the map side, the parents' keys (one small union) are looked up once, and one line per kind is left.
+    """
+    spec = RAW_TABLES[name]
+    checks = {f"not_null:{c}": F.col(c).isNull() for c in spec.required}
+    checks |= {rule: F.coalesce(F.expr(predicate), F.lit(False)) for rule, predicate in spec.rules}
+    flags = [f"bad_{i}" for i in range(len(checks))]
+    width = max(1, len(spec.key))
+    parts = [f"part_{i}" for i in range(width)]
+
+    def entry(kind: str, columns: Sequence[str], own: bool) -> Column:
+        values = zip(parts, _text_parts(columns, width), strict=True)
+        bad = zip(flags, checks.values(), strict=True)
+        return F.struct(
+            F.lit(kind).alias("kind"),
+            *[v.alias(part) for part, v in values],
+            *[(b if own else F.lit(False)).alias(f) for f, b in bad],
+        )
+
+    entries = [entry("own", spec.key, True), *[entry(column, [column], False) for column, _ in spec.parents]]
+    counted = (
+        m.raw(name)
+        .select(F.inline(F.array(*entries)))
+        .groupBy("kind", *parts)
+        .agg(F.count(F.lit(1)).alias("n"), *[F.count_if(f).alias(f) for f in flags])
+    )
+    if spec.parents:
+        keys = [
+            m.rows(parent).select(F.lit(column).alias("kind"), F.col(RAW_TABLES[parent].key[0]).cast("string").alias("part_0"))
+            for column, parent in spec.parents
+        ]
+        known = reduce(DataFrame.unionByName, keys).distinct().withColumn("known", F.lit(True))
+        counted = counted.join(known, ["kind", "part_0"], "left")
+    else:
+        counted = counted.withColumn("known", F.lit(None).cast("boolean"))
+    # composite keys count NULL parts as values, a single key skips NULL: as SQL's DISTINCT of a tuple and of a column
+    distinct = F.count(F.lit(1)) if len(spec.key) > 1 else F.count("part_0")
+    kinds = counted.groupBy("kind").agg(
+        F.sum("n").alias("total"),
+        distinct.alias("keys"),
+        F.sum(F.when(F.col("known").isNull(), F.col("n")).otherwise(0)).alias("lost"),
+        *[F.sum(f).alias(f) for f in flags],
     )
-    return stacked([*frames, orphans]).select("table_name", "rule", "violations")
+
+    def line(rule: str, violations: Column) -> Column:
+        return F.struct(F.lit(rule).alias("rule"), F.coalesce(violations, F.lit(0)).cast("bigint").alias("violations"))
+
+    def at(kind: str, value: Column) -> Column:
+        return F.max(F.when(F.col("kind") == kind, value))
+
+    lines = [line(rule, at("own", F.col(f))) for rule, f in zip(checks, flags, strict=True)]
+    if spec.key:
+        lines.append(line(f"unique:{'+'.join(spec.key)}", at("own", F.col("total") - F.col("keys"))))
+    lines += [line(f"references:{column}", at(column, F.col("lost"))) for column, _ in spec.parents]
+    return kinds.agg(F.array(*lines).alias("lines")).select(F.lit(name).alias("table_name"), F.inline("lines"))
+
+
+def constraint_violations(m: Market) -> DataFrame:
+    """DQ14: NOT NULL, value rules, unique keys and references of every table as violation counts; one pass per table."""
+    return stacked([_table_violations(m, name) for name in RAW_TABLES]).select("table_name", "rule", "violations")
 
 
 class RowCountError(ValueError):

@@ -86,9 +86,16 @@ def _top_categories(counts: DataFrame, size: int) -> DataFrame:
 
 
 def category_score_counts(m: Market, size: int = 10) -> DataFrame:
-    """Orders per (category, score) in the categories with most single-category orders."""
+    """Orders per (category, score) in the categories with most single-category orders.
+
+    A category's scores travel with it as one short list (an average with two decimals has 401 values), so the
+    orders are read once for both the ranking and the counts.
+    """
+    scores = F.collect_list(F.struct("review_score", "orders")).alias("scores")
     counts = _counted(_single_category_scores(m))
-    return counts.join(_top_categories(counts, size), "product_category", "left_semi")
+    listed = counts.groupBy("product_category").agg(F.sum("orders").alias("n"), scores)
+    top = listed.orderBy(F.desc("n"), "product_category").limit(size)
+    return top.select("product_category", F.inline("scores"))
 
 
 def category_reviews(m: Market, size: int = 10) -> DataFrame:
@@ -105,9 +112,10 @@ def _score_groups(df: DataFrame, by: str) -> DataFrame:
         mean(score).alias("average_review_score"),
         F.stddev_samp(score.cast("double")).alias("standard_deviation"),
         per(F.count_if(score <= 2), F.count(F.lit(1))).alias("low_score_share"),
+        # exact; its buffer counts distinct averages, of which there are 401 at most
+        F.percentile(score, F.lit(0.5)).alias("median_review_score"),
     )
-    middle = quantiles(df, [by], "review_score", {"median_review_score": 0.5})
-    return moments.join(middle, by).withColumn("low_score_share_percent", F.col("low_score_share") * 100)
+    return moments.where("orders_count > 0").withColumn("low_score_share_percent", F.col("low_score_share") * 100)
 
 
 def group_sizes(m: Market) -> DataFrame:
@@ -128,7 +136,7 @@ def delay_welch(m: Market) -> DataFrame:
 
 
 def delay_mann_whitney(m: Market) -> DataFrame:
-    return tests.mann_whitney(delay_reviews(m), "review_score", F.col("is_delayed"), "less")
+    return tests.mann_whitney(delay_reviews(m), "review_score", F.col("is_delayed"), "less", few=True)
 
 
 def delay_effect(m: Market) -> DataFrame:
@@ -156,7 +164,7 @@ def items_freight_kruskal(m: Market) -> DataFrame:
 
 
 def category_kruskal(m: Market) -> DataFrame:
-    return tests.kruskal(category_score_counts(m), "review_score", "product_category", F.sum("orders"))
+    return tests.kruskal(category_score_counts(m), "review_score", "product_category", F.sum("orders"), few=True)
 
 
 def value_time_describe(m: Market) -> DataFrame:
@@ -200,14 +208,10 @@ def category_review_summary(m: Market) -> DataFrame:
         F.sum(orders).alias("reviews_count"),
         per(F.sum(score * orders), F.sum(orders)).alias("average_review_score"),
         per(F.sum(F.when(score <= 2, orders).otherwise(0)), F.sum(orders)).alias("low_score_share"),
+        F.percentile(score, F.lit(0.5), orders).alias("median_review_score"),
     )
-    middle = quantiles(
-        counts, ["product_category"], "review_score", {"median_review_score": 0.5}, count=F.sum("orders")
-    )
-    return (
-        groups.join(middle, "product_category")
-        .withColumn("low_score_share_percent", F.col("low_score_share") * 100)
-        .orderBy("average_review_score", "product_category")
+    return groups.withColumn("low_score_share_percent", F.col("low_score_share") * 100).orderBy(
+        "average_review_score", "product_category"
     )
 
 
@@ -220,7 +224,7 @@ def as_metrics(one_row: DataFrame, labels: dict[str, str]) -> DataFrame:
 def _delay_tests(m: Market) -> DataFrame:
     # three statistics over the same rows: the two columns are written once
     reviews = written(delay_reviews(m).select("review_score", "is_delayed"), "delay_reviews")
-    ranks = tests.mann_whitney(reviews, "review_score", F.col("is_delayed"), "less")
+    ranks = tests.mann_whitney(reviews, "review_score", F.col("is_delayed"), "less", few=True)
     effect = tests.cohens_d(reviews, "review_score", F.col("is_delayed"))
     base = tests.with_t_p(tests.welch(reviews, "review_score", F.col("is_delayed")), "less", "welch_p")
     with_u = tests.with_u_p(ranks, "less", "u_p")

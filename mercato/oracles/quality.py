@@ -294,6 +294,24 @@ ORACLES = {
         COUNT(CASE WHEN average_review_score NOT BETWEEN 1 AND 5 THEN 1 END) AS invalid_average_review_scores FROM v_metrics"""
     ),
     **{f"ingest_{t}": sql(f"SELECT {columns} FROM raw_{t}") for t, columns in INGESTED.items()},
+    "src5_quarantined_payments": sql(
+        """SELECT order_id, "column", value, 'not a value of type ' || type AS reason, COUNT(*) AS rows_count FROM bad
+        GROUP BY ALL
+        UNION ALL SELECT NULL, '*', NULL, 'loaded', COUNT(*) FROM spoilt WHERE line NOT IN (SELECT line FROM bad)""",
+        spoilt="""SELECT ROW_NUMBER() OVER () AS line, order_id,
+            CASE order_id % 23 WHEN 1 THEN v || 'x' WHEN 2 THEN v || '7' ELSE v END AS payment_value,
+            CASE WHEN order_id % 37 = 5 THEN ' ' WHEN order_id % 29 = 3 THEN '2.5'
+                 ELSE payment_installments::VARCHAR END AS payment_installments,
+            CASE WHEN order_id % 31 = 4 THEN 'one' ELSE payment_sequential::VARCHAR END AS payment_sequential
+            FROM (SELECT *, payment_value::DECIMAL(12,2)::VARCHAR AS v FROM raw_payments)""",
+        bad="""SELECT line, order_id, 'payment_value' AS "column", payment_value AS value, 'decimal(12,2)' AS type FROM spoilt
+            WHERE TRY_CAST(payment_value AS DECIMAL(38,18)) IS DISTINCT FROM TRY_CAST(payment_value AS DECIMAL(12,2))
+               OR TRY_CAST(payment_value AS DOUBLE) IS NULL
+            UNION ALL SELECT line, order_id, 'payment_installments', payment_installments, 'int' FROM spoilt
+            WHERE TRIM(payment_installments) <> '' AND NOT COALESCE(TRY_CAST(payment_installments AS DOUBLE) % 1 = 0, FALSE)
+            UNION ALL SELECT line, order_id, 'payment_sequential', payment_sequential, 'int' FROM spoilt
+            WHERE NOT COALESCE(TRY_CAST(payment_sequential AS DOUBLE) % 1 = 0, FALSE)""",
+    ),
     "src6_reload_counts": sql(
         ALL.join(f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM raw_{t}" for t in TABLES)
     ),

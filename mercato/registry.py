@@ -54,6 +54,35 @@ def _ingested(table: str) -> Query:
     return run
 
 
+# how the stand-in file of the quarantine query spoils values; (column, every so many orders, remainder, text)
+SPOILT = [
+    ("payment_value", 23, 1, "concat(payment_value, 'x')"),
+    ("payment_value", 23, 2, "concat(payment_value, '7')"),
+    ("payment_installments", 29, 3, "'2.5'"),
+    ("payment_sequential", 31, 4, "'one'"),
+    ("payment_installments", 37, 5, "' '"),
+]
+
+
+def _quarantined(m: Market) -> DataFrame:
+    """Payments written as CSV with some spoilt values, loaded in one pass into good and bad rows: every bad value,
+    and per column how many rows came through."""
+    rows = m.raw("payments").select([F.col(c).cast("string") for c in RAW_TABLES["payments"].names])
+    for column, every, rest, text in SPOILT:
+        chosen = F.expr(f"CAST(order_id AS BIGINT) % {every} = {rest}")
+        rows = rows.withColumn(column, F.when(chosen, F.expr(text)).otherwise(F.col(column)))
+    path = csv_ingest.write_csv(rows, scratch_path(m.spark, "csv-spoilt"))
+    good, bad = csv_ingest.load_with_quarantine(m.spark, path, "payments", scratch_path(m.spark, "quarantine"), NUMERIC_IDS)
+    order = F.get_json_object("row", "$.order_id").cast("bigint").alias("order_id")
+    listed = bad.select(order, "column", "value", "reason").groupBy("order_id", "column", "value", "reason")
+    counts = listed.agg(F.count(F.lit(1)).alias("rows_count"))
+    through = good.agg(F.count(F.lit(1)).alias("rows_count")).select(
+        F.lit(None).cast("bigint").alias("order_id"), F.lit("*").alias("column"), F.lit(None).cast("string").alias("value"),
+        F.lit("loaded").alias("reason"), "rows_count",
+    )
+    return counts.unionByName(through)
+
+
 def _reloaded(m: Market) -> DataFrame:
     """Load all CSV tables twice into one place: the second refresh replaces the first."""
     root = scratch_path(m.spark, "reload")
@@ -171,6 +200,7 @@ def all_queries() -> dict[str, Query]:
     }
     named |= dashboard.PAGES | quality.CHECKS
     named |= {f"ingest_{table}": _ingested(table) for table in RAW_TABLES}
+    named["src5_quarantined_payments"] = _quarantined
     named |= {"src6_reload_counts": _reloaded, "src8_sql_scan": _sql_scan, "src10_exported_marts": _exported}
     named |= {
         "t1_group_sizes": statistics.group_sizes,

@@ -156,3 +156,29 @@ def test_groups_by_text_ids(spark):
     finally:
         experiment.repeat_purchases = original
     assert groups == {experiment.CONTROL, experiment.TREATMENT}
+
+
+def test_kruskal_is_exact_at_ten_billion_rows(spark):
+    """Counts of rows instead of rows: H and its tie correction against fractions."""
+    from fractions import Fraction
+
+    cells = {("a", 1): 2_000_000_011, ("a", 2): 1_333_333_333, ("b", 1): 1_999_999_999, ("b", 2): 1_333_333_357}
+    cells |= {("c", 1): 2_000_000_003, ("c", 2): 1_333_333_297, ("c", 3): 7}
+    rows = [(g, v, n) for (g, v), n in cells.items()]
+    for few in (False, True):
+        df = spark.createDataFrame(rows, "g string, v int, n long")
+        got = tests.kruskal(df, "v", "g", F.sum("n"), few=few).first()
+        total = sum(cells.values())
+        below, rank, ties = 0, {}, 0
+        for value in (1, 2, 3):
+            size = sum(n for (_, v), n in cells.items() if v == value)
+            rank[value], ties, below = below + Fraction(size + 1, 2), ties + size**3 - size, below + size
+        h = Fraction(0)
+        for group in "abc":
+            own = {v: n for (g, v), n in cells.items() if g == group}
+            size = sum(own.values())
+            mean = sum(rank[v] * n for v, n in own.items()) / Fraction(size) - Fraction(total + 1, 2)
+            h += size * mean * mean
+        h = h * 12 / (total * (total + 1)) / (1 - Fraction(ties, total**3 - total))
+        assert (got["n"], got["k"], got["df"]) == (total, 3, 2)
+        assert got["h"] == pytest.approx(float(h), rel=1e-9)

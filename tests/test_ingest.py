@@ -130,3 +130,58 @@ def test_values_that_would_be_cut_stop_the_load(spark):
         rows = spark.createDataFrame([(v,) for v in good + bad], "v string")
         fine = {r.v for r in rows.filter(_parsed(F.col("v"), target).isNotNull()).collect()}
         assert fine == set(good)
+
+
+def test_free_text_files_are_read_in_splits(spark, tmp_path):
+    """Records with line breaks and quotes across the borders of many small splits, against the reader that cannot split."""
+    import random
+
+    draw = random.Random(4)
+    parts = ["", " ", '"', '""', ",", "\n", "\n\n", '"\n"', "ü", "text, more", "a" * 300, "\r\n"]
+    folder = tmp_path / "reviews"
+    folder.mkdir()
+    for name in ("a", "b"):
+        lines = [REVIEW_HEADER]
+        for i in range(400):
+            title, message = ("".join(draw.choices(parts, k=draw.randrange(5))) for _ in range(2))
+            quoted = ['"' + t.replace('"', '""') + '"' if t else "" for t in (title, message)]
+            lines.append(f"{name}{i},o{i},5,{quoted[0]},{quoted[1]},2020-01-01 00:00:00,2020-01-02 00:00:00")
+            lines += [""] * (i % 50 == 0)
+        (folder / f"{name}.csv").write_bytes("\n".join(lines).encode())
+    spec = RAW_TABLES["reviews"]
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
+    wanted = spark.read.options(**options).schema(", ".join(f"{n} string" for n in spec.names)).csv(str(folder)).collect()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        split = csv_ingest.read_strings(spark, str(folder), spec, "reviews")
+        assert spark.read.text(str(folder)).rdd.getNumPartitions() > 20
+        found = split.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(found) == len(wanted) == 800
+    assert sorted(map(str, found)) == sorted(map(str, wanted))
+
+
+def test_every_free_text_file_proves_its_header(spark, tmp_path):
+    folder = tmp_path / "reviews"
+    folder.mkdir()
+    good = "r,o,5,,,2020-01-01 00:00:00,2020-01-01 00:00:00"
+    save(folder, "a", REVIEW_HEADER, good)
+    save(folder, "b", REVIEW_HEADER.replace("review_score", "score"), good)
+    with pytest.raises(Exception, match="(?i)header"):
+        csv_ingest.read_table(spark, str(folder), "reviews").collect()
+
+
+def test_bad_values_go_to_quarantine_in_one_pass(spark, tmp_path):
+    path = save(
+        tmp_path, "payments", ",".join(RAW_TABLES["payments"].names),
+        "o1,1,card,2,10.50", "o2,1.0,card, ,1.2", "o3,x,card,2.5,9.999", "o4,2,,1,NaN",
+    )
+    good, bad = csv_ingest.load_with_quarantine(spark, path, "payments", str(tmp_path / "out"))
+    assert sorted(r.order_id for r in good.collect()) == ["o1", "o2", "o4"]
+    assert [f.dataType for f in good.schema] == [t for _, t, _ in RAW_TABLES["payments"].columns]
+    found = {(r["column"], r["value"], r["reason"]) for r in bad.collect()}
+    kind = "not a value of type "
+    assert found == {("payment_sequential", "x", f"{kind}int"), ("payment_installments", "2.5", f"{kind}int"), ("payment_value", "9.999", f"{kind}decimal(12,2)")}
+    assert all('"order_id":"o3"' in r["row"] for r in bad.collect())
+    assert (tmp_path / "out" / "quarantined=true").exists() and (tmp_path / "out" / "quarantined=false").exists()
