@@ -3,13 +3,13 @@
 A text is cut by the tokenizer's pattern; a piece that is a token as a whole is that token. The other
 pieces, each distinct one once per Python worker, become rows (piece, position, token). A recursive query finds
 every piece's adjacent pair of least rank, the leftmost of equals, and contracts it, until no piece has a pair left.
-Its state is keyed by piece and position: a contraction rewrites the rows it touches, so the state never
-outgrows the pieces' bytes. Decoding joins the ids with the vocabulary and gathers the bytes in order of position.
+Decoding joins the ids with the vocabulary and gathers the bytes in order of position.
 
-Spark partitions the texts; DuckDB is a library inside a task, fed ``CHUNK_BYTES`` of pieces, shortest first, or
-``CHUNK_TOKENS`` ids at a time, so its memory depends neither on the partition nor on a text. Pieces above ``LONG``
-bytes take a linear list instead of rows, because a recursion of one contraction per step is quadratic in the
-piece; the order of contractions is the same. The pieces of one text and their numbers have to fit a task.
+Spark partitions the texts; DuckDB is a library inside a task, fed pieces, shortest first, whose steps make
+``CHUNK_ROWS`` rows at most (a piece of n bytes makes n (n + 1) / 2), or ``CHUNK_TOKENS`` ids at a time, so its memory
+depends neither on the partition nor on a text. Pieces above ``LONG`` bytes take a linear list instead of rows,
+because a recursion of one contraction per step is quadratic in the piece; the order of contractions is the same.
+The pieces of one text and their numbers have to fit a task.
 
 Nulls: a null text is empty; an empty text has no ids and decodes to no bytes. Repeated rows are encoded
 alike. Other columns are kept unless they have the name of a result column. Empty table: empty result.
@@ -36,36 +36,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, StructField, StructType
 
-#: Bytes of pieces that one recursive query contracts, and ids that one query decodes.
-CHUNK_BYTES, CHUNK_TOKENS = 100_000, 500_000
-LONG = 512
+#: Rows of all steps of one recursive query, and ids that one query decodes.
+CHUNK_ROWS, CHUNK_TOKENS = 1_500_000, 500_000
+LONG = 256
 #: Pieces that a worker remembers before it starts afresh, and bytes of text it encodes at a time.
 REMEMBERED, TEXT_BYTES = 1_000_000, 2_000_000
 ROWS = 500  # texts of one step
 MEMORY = "400MB"
-NO_PAIR = 2**31 - 1
 Run = Callable[["Codec", pa.RecordBatch], pa.Array]
 
-# state: token at a position (-1: contracted away), the next token and its position, and the rank of the pair
-CONTRACT = f"""
-WITH RECURSIVE state(w, pos, tok, npos, nxt, rank) USING KEY (w, pos) AS (
-  SELECT s.w, s.pos, s.tok, s.npos, s.nxt, coalesce(m.rank, {NO_PAIR})
-  FROM start s LEFT JOIN merges m ON m.pair = s.tok::BIGINT * 4294967296 + s.nxt
-  UNION
-  SELECT u.w, u.pos, u.tok, u.npos, u.nxt, coalesce(m.rank, {NO_PAIR})
-  FROM (
-    SELECT b.w, unnest([b.pos, b.npos, p.pos]) AS pos, unnest([b.rank, -1, p.tok]) AS tok,
-           unnest([r.npos, -1, p.npos]) AS npos, unnest([r.nxt, -1, b.rank]) AS nxt
-    FROM (SELECT w, (min(least) % 4294967296)::INTEGER AS pos, (min(least) // 4294967296)::INTEGER AS rank,
-                 arg_min(npos, least) AS npos
-          FROM (SELECT w, npos, rank::BIGINT * 4294967296 + pos AS least FROM recurring.state WHERE rank < {NO_PAIR})
-          GROUP BY w) b
-    JOIN recurring.state r ON r.w = b.w AND r.pos = b.npos
-    LEFT JOIN recurring.state p ON p.w = b.w AND p.npos = b.pos AND p.tok >= 0
-  ) u LEFT JOIN merges m ON m.pair = u.tok::BIGINT * 4294967296 + u.nxt
-  WHERE u.pos IS NOT NULL
+CONTRACT = """
+WITH RECURSIVE state AS (
+  SELECT 0 AS step, w, pos, tok, nxt, npos FROM start
+  UNION ALL
+  SELECT n.step + 1, n.w, n.pos,
+         CASE WHEN n.pos = b.pos THEN b.rank ELSE n.tok END,
+         CASE WHEN n.pos = b.pos THEN b.after WHEN n.npos = b.pos THEN b.rank ELSE n.nxt END,
+         CASE WHEN n.pos = b.pos THEN b.after_pos ELSE n.npos END
+  FROM state n
+  JOIN (SELECT c.w, c.pos, c.npos, c.rank, q.nxt AS after, q.npos AS after_pos
+        FROM (SELECT w, (min(least_pair) % 4294967296)::INTEGER AS pos,
+                     (min(least_pair) // 4294967296)::INTEGER AS rank, arg_min(npos, least_pair) AS npos
+              FROM (SELECT p.w, p.npos, m.rank::BIGINT * 4294967296 + p.pos AS least_pair
+                    FROM state p JOIN merges m ON m.pair = p.tok::BIGINT * 4294967296 + p.nxt)
+              GROUP BY w) c
+        JOIN state q ON q.w = c.w AND q.pos = c.npos) b
+    ON n.w = b.w AND n.pos <> b.npos
 )
-SELECT w, list(tok ORDER BY pos) AS ids FROM state WHERE tok >= 0 GROUP BY w ORDER BY w
+SELECT w, list(tok ORDER BY pos) AS ids
+FROM state JOIN (SELECT w, max(step) AS step FROM state GROUP BY w) USING (w, step)
+GROUP BY w ORDER BY w
 """
 DECODE = "SELECT list(v.bytes ORDER BY pos) AS parts FROM encoded JOIN vocabulary v USING (id)"
 
@@ -213,10 +213,10 @@ class Codec:
         for i in long:
             made = contracted(raw[i], self.ranks)
             ids.append(np.array(made, dtype=np.int32)), counts.append(np.array([len(made)]))
-        ends = np.cumsum([len(raw[i]) for i in rest])
+        ends = np.cumsum([len(raw[i]) * (len(raw[i]) + 1) // 2 for i in rest])
         at = 0
         while at < len(rest):
-            stop = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK_BYTES, side="right"))
+            stop = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK_ROWS, side="right"))
             made, sizes = self.contract([raw[i] for i in rest[at:stop]])
             ids.append(made), counts.append(sizes)
             at = stop
