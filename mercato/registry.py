@@ -13,7 +13,7 @@ from mercato.functions import scoring
 from mercato.market import Market
 from mercato.operators import cohort, dashboard, eda, experiment, low_review, marts, model_checks, product, quality, rfm, statistics
 from mercato.schema import RAW_TABLES
-from mercato.session import scratch_path
+from mercato.session import folder_state, scratch_path
 from mercato.sources import csv_ingest, warehouse
 
 Query = Callable[[Market], DataFrame]
@@ -290,12 +290,13 @@ def all_queries() -> dict[str, Query]:
     return named
 
 
-_markets: dict[tuple[str, str], Market] = {}
+_markets: dict[tuple, Market] = {}
 
 
 def market_of(spark: SparkSession, folder: str) -> Market:
-    """One set of lazy plans per application and folder; plans hold no data."""
-    key = (spark.sparkContext.applicationId, folder)
+    """One set of plans per application and state of a folder. The plans hold no data but for the low-review study, whose
+    frame and models are made once; a replaced input file makes a new market."""
+    key = (spark.sparkContext.applicationId, folder, folder_state(spark, folder))
     if key not in _markets:
         _markets[key] = Market.from_star(spark, folder)
     return _markets[key]

@@ -30,17 +30,33 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the folder that the cluster shares: ``spark.checkpoint.dir``, else the SQL warehouse."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """A fresh path in the folder that the cluster shares: ``spark.checkpoint.dir``, else the SQL warehouse.
+
+    An unset warehouse is a folder of the driver's machine, which executors elsewhere do not see: that is refused.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir")
+        unset = root.startswith("file:") and root.rstrip("/").endswith("/spark-warehouse")
+        if unset and not spark.conf.get("spark.master", "local").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     return f"{root.rstrip('/')}/mercato/{label}-{uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.sc().hadoopConfiguration()), place
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: the lineage ends there,
-    and a lost executor costs a re-read, not a recomputation."""
-    path = scratch_path(df.sparkSession, label)
+    and a lost executor costs a re-read, not a recomputation. The table goes when its owner discards it, at the
+    latest when the application ends."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    files, place = _file_system(spark, path)
+    files.deleteOnExit(place)
+    table = spark.read.schema(df.schema).parquet(path)
     table.written_to = path
     return table
 
@@ -48,5 +64,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def discard(*tables: DataFrame) -> None:
     """Delete written tables that no plan reads any more."""
     for table in tables:
-        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.written_to)
-        path.getFileSystem(table.sparkSession._jsc.sc().hadoopConfiguration()).delete(path, True)
+        files, place = _file_system(table.sparkSession, table.written_to)
+        files.delete(place, True)
+        files.cancelDeleteOnExit(place)
+
+
+def folder_state(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of what lies in a folder; it changes when a table there is replaced."""
+    files, place = _file_system(spark, folder)
+    found = files.listStatus(place)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found))

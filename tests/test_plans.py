@@ -78,3 +78,27 @@ def test_a_hot_order_is_found_by_a_bounded_broadcast(star):
 
 def test_first_two_reviews_are_limited_before_the_shuffle(star):
     assert "WindowGroupLimit" in plan(star.raw("reviews"))
+
+
+def scans(df, column: str) -> int:
+    """Reads of the star table that has ``column``."""
+    return sum("FileScan" in line and column in line for line in plan(df).splitlines())
+
+
+def test_big_tables_are_read_few_times(star):
+    from mercato.operators import quality, statistics
+
+    assert scans(star.order_metrics, "l_orderkey") <= 3  # items, payments, reviews
+    assert scans(quality.constraint_violations(star), "l_orderkey") <= 9  # three for each numbering of items and payments
+    assert scans(statistics.category_review_summary(star), "l_orderkey") <= 2
+
+
+def test_bounded_frames_need_few_shuffles(star):
+    from mercato.operators import statistics
+
+    def shuffles(df) -> int:
+        return len(re.findall(r"(?<!Broadcast)Exchange (?:hash|range|Single)", plan(df)))
+
+    assert shuffles(statistics.category_review_summary(star)) <= 8
+    assert shuffles(statistics.category_kruskal(star)) <= 14
+    assert shuffles(statistics.delay_review_summary(star)) <= 4
