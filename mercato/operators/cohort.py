@@ -59,14 +59,16 @@ def _matrix(m: Market, months: Months | None, indexes: Sequence[int], value: str
 
 
 def complete_months(m: Market) -> Months:
-    """First and last month between the months of the first and the last purchase, which are partial (two scalars)."""
+    """First and last month between the months of the first and the last purchase, which are partial: scalar
+    subqueries, so nothing runs until the plan they are put into does."""
     bought = F.trunc("order_purchase_timestamp", "month")
-    first, last = F.add_months(F.min(bought), 1), F.add_months(F.max(bought), -1)
-    return tuple(m.raw("orders").agg(first, last).first())
+    ends = m.raw("orders").agg(F.add_months(F.min(bought), 1).alias("first"), F.add_months(F.max(bought), -1).alias("last"))
+    return ends.select("first").scalar(), ends.select("last").scalar()
 
 
 def last_index(m: Market) -> int:
-    """Largest possible cohort index: months between first and last completed purchase (one scalar)."""
+    """Largest possible cohort index: months between first and last completed purchase. It decides how many columns the
+    matrix has, so this one number is read when the matrix is built."""
     span = m.raw("orders").where("order_status = 'delivered'").agg(
         F.min("order_purchase_timestamp").alias("first"), F.max("order_purchase_timestamp").alias("last")
     )

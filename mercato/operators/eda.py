@@ -257,19 +257,17 @@ def reviews_by_delay(m: Market) -> DataFrame:
 
 def category_performance(m: Market, size: int | None = None) -> DataFrame:
     """Item-weighted category totals of completed orders, optionally only the largest ones."""
-    lines = m.rows("order_items").groupBy("order_id", "product_id").agg(
-        F.count(F.lit(1)).alias("items"), F.sum("price").alias("price")
-    )
+    completed = m.raw("orders").where("order_status = 'delivered'").select("order_id")
+    sold = m.rows("order_items").join(completed, "order_id", "left_semi")
+    lines = sold.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("items"), F.sum("price").alias("price"))
     category = m.products.select("product_id", "product_category_name_english")
     baskets = (
         lines.join(category, "product_id")
         .groupBy("order_id", "product_category_name_english")
         .agg(F.sum("items").alias("items"), F.sum("price").alias("price"))
     )
-    completed = m.raw("orders").where("order_status = 'delivered'").select("order_id")
     table = (
-        baskets.join(completed, "order_id", "left_semi")
-        .groupBy("product_category_name_english")
+        baskets.groupBy("product_category_name_english")
         .agg(
             F.sum("items").alias("order_items_count"),
             _rows().alias("orders_count"),

@@ -179,11 +179,11 @@ class LowReviewStudy:
         return {r.variable: r.fill_value for r in self.fill_values().collect()}  # nine scalars
 
     def prepared(self, df: DataFrame) -> DataFrame:
-        """Missing values replaced by the training fills; categories as text."""
-        numbers = [
-            F.coalesce(F.col(c).cast("double"), F.lit(float(self._fills[c]))).alias(c) for c in NUMERIC
-        ]
-        texts = [F.coalesce(F.col(c).cast("string"), F.lit(self._fills[c])).alias(c) for c in CATEGORICAL]
+        """Missing values replaced by the training fills; categories as text. A column that training rows leave empty
+        has no fill: it is 0 or empty text throughout."""
+        fills = self._fills
+        numbers = [F.coalesce(F.col(c).cast("double"), F.lit(float(fills.get(c) or 0))).alias(c) for c in NUMERIC]
+        texts = [F.coalesce(F.col(c).cast("string"), F.lit(fills.get(c) or "")).alias(c) for c in CATEGORICAL]
         kept = [c for c in df.columns if c not in NUMERIC + CATEGORICAL]
         return df.select(*kept, *numbers, *texts)
 

@@ -91,7 +91,9 @@ def delivery_metrics(m: Market) -> DataFrame:
 def category_metrics(m: Market) -> DataFrame:
     """Category totals; the averages weigh every (order, category) pair alike."""
     price, freight = F.col("price"), F.col("freight_value")
-    lines = m.rows("order_items").groupBy("order_id", "product_id").agg(
+    # items of other orders go before anything is summed
+    completed = m.raw("orders").where("order_status = 'delivered'").select("order_id")
+    lines = m.rows("order_items").join(completed, "order_id", "left_semi").groupBy("order_id", "product_id").agg(
         F.count(F.lit(1)).alias("items"), F.sum(price).alias("price"), F.sum(freight).alias("freight")
     )
     category = m.products.select("product_id", F.col("product_category_name_english").alias("product_category"))

@@ -12,7 +12,7 @@ from mercato.functions.profile import all_labels, bin_labels, count_bins, descri
 from mercato.market import Market
 
 UPPER_PERCENTILES = (0.5, 0.75, 0.9, 0.95, 0.99)
-Months = tuple[date, date]
+Months = tuple[date | Column, date | Column]  # first and last; a column holds one value for all rows
 
 
 def _valued(m: Market) -> DataFrame:
@@ -21,7 +21,7 @@ def _valued(m: Market) -> DataFrame:
 
 def within_months(df: DataFrame, column: str, months: Months | None) -> DataFrame:
     """Cut incomplete boundary months; both ends are inclusive and the cut follows the aggregation."""
-    return df if months is None else df.where(F.col(column).between(*[F.lit(month) for month in months]))
+    return df if months is None else df.where(F.col(column).between(*[F.lit(m) for m in months]))
 
 
 def _metrics() -> list[Column]:

@@ -264,6 +264,20 @@ def assert_row_counts(counts: DataFrame, expected: Mapping[str, int], label: str
         raise RowCountError("row counts differ:\n" + "\n".join(lines))
 
 
+def refused_row_counts(m: Market, expected: Mapping[str, DataFrame]) -> DataFrame:
+    """DQ15: the lines of the error that stops a run whose tables differ from ``expected`` (one row, row_count, each);
+    no lines if they agree."""
+    actual = raw_row_counts(m)
+    wanted = {name: df.first()["row_count"] for name, df in expected.items()}  # one number per table
+    try:
+        assert_row_counts(actual, wanted)
+        lines = []
+    except RowCountError as error:
+        lines = str(error).splitlines()[1:]
+    rows = list(enumerate(lines, 1))
+    return m.spark.createDataFrame(rows, "position int, line string")
+
+
 def preserved_row_counts(m: Market) -> DataFrame:
     """DQ15 on the views that must keep the rows of a raw table."""
     return compare_row_counts(

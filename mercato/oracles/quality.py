@@ -312,6 +312,18 @@ ORACLES = {
             UNION ALL SELECT line, order_id, 'payment_sequential', payment_sequential, 'int' FROM spoilt
             WHERE NOT COALESCE(TRY_CAST(payment_sequential AS DOUBLE) % 1 = 0, FALSE)""",
     ),
+    "src9_bucketed_orders": sql(
+        """SELECT order_status, COUNT(*) AS orders_count, CAST(SUM(n) AS BIGINT) AS items_count,
+        CAST(SUM(k) AS BIGINT) AS payments_count, CAST(SUM(price) AS DOUBLE) AS products_value
+        FROM raw_orders LEFT JOIN (SELECT order_id, COUNT(*) AS n, SUM(price) AS price FROM raw_order_items GROUP BY 1) USING (order_id)
+        LEFT JOIN (SELECT order_id, COUNT(*) AS k FROM raw_payments GROUP BY 1) USING (order_id) GROUP BY 1"""
+    ),
+    "dq15_refused_row_counts": sql(
+        """SELECT ROW_NUMBER() OVER (ORDER BY t) AS position,
+        t || ': expected ' || format('{:,}', (SELECT COUNT(*) FROM raw_orders)) || ', found ' || n AS line
+        FROM counted WHERE n <> (SELECT COUNT(*) FROM raw_orders)""",
+        counted=ALL.join(f"SELECT '{t}' AS t, COUNT(*) AS n FROM raw_{t}" for t in TABLES),
+    ),
     "src6_reload_counts": sql(
         ALL.join(f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM raw_{t}" for t in TABLES)
     ),

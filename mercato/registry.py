@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,6 +84,29 @@ def _quarantined(m: Market) -> DataFrame:
     return counts.unionByName(through)
 
 
+def _refused(m: Market) -> DataFrame:
+    """What a run says that expects the orders' number of every table: the tables with another number of rows."""
+    orders = m.raw("orders").agg(F.count(F.lit(1)).alias("row_count"))
+    return quality.refused_row_counts(m, {name: orders for name in RAW_TABLES})
+
+
+def _bucketed(m: Market) -> DataFrame:
+    """The tables saved to the catalog, bucketed by order, and read back: items and payments per order status, by joins
+    of equal buckets."""
+    database = f"layout_{uuid4().hex}"
+    warehouse.save_tables(m, database, buckets=8)
+    shop = Market.from_catalog(m.spark, database)
+    items = shop.raw("order_items").groupBy("order_id").agg(F.count(F.lit(1)).alias("items"), F.sum("price").alias("price"))
+    paid = shop.raw("payments").groupBy("order_id").agg(F.count(F.lit(1)).alias("payments"))
+    joined = shop.raw("orders").join(items, "order_id", "left").join(paid, "order_id", "left")
+    return joined.groupBy("order_status").agg(
+        F.count(F.lit(1)).alias("orders_count"),
+        F.sum("items").alias("items_count"),
+        F.sum("payments").alias("payments_count"),
+        F.sum("price").alias("products_value"),
+    )
+
+
 def _reloaded(m: Market) -> DataFrame:
     """Load all CSV tables twice into one place: the second refresh replaces the first."""
     root = scratch_path(m.spark, "reload")
@@ -200,7 +224,7 @@ def all_queries() -> dict[str, Query]:
     }
     named |= dashboard.PAGES | quality.CHECKS
     named |= {f"ingest_{table}": _ingested(table) for table in RAW_TABLES}
-    named["src5_quarantined_payments"] = _quarantined
+    named |= {"src5_quarantined_payments": _quarantined, "src9_bucketed_orders": _bucketed, "dq15_refused_row_counts": _refused}
     named |= {"src6_reload_counts": _reloaded, "src8_sql_scan": _sql_scan, "src10_exported_marts": _exported}
     named |= {
         "t1_group_sizes": statistics.group_sizes,
