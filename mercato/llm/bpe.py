@@ -40,7 +40,7 @@ from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, Stru
 CHUNK_ROWS, CHUNK_TOKENS = 1_500_000, 500_000
 LONG = 256
 #: Pieces that a worker remembers before it starts afresh, and bytes of text it encodes at a time.
-REMEMBERED, TEXT_BYTES = 1_000_000, 2_000_000
+REMEMBERED, TEXT_BYTES = 450_000, 2_000_000
 ROWS = 500  # texts of one step
 MEMORY = "400MB"
 Run = Callable[["Codec", pa.RecordBatch], pa.Array]
