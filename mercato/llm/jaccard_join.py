@@ -22,9 +22,9 @@ The short lists are merged by a stable sort of their concatenation, which detect
 Python objects gives the same order some fifty times slower.
 
 Nulls: a null or blank text has no shingles and links with nothing, its component is its own doc_id. A null
-doc_id never represents a class unless all of the class are null, and neither has nor is a link. Repeated rows
-have the same result and count once. Empty
-table: empty result. Other columns are ignored.
+doc_id never represents a class unless all of the class are null, and neither has nor is a link. A doc_id is a whole
+number and names one text: repeated rows have the same result and count once; rows of one doc_id with different texts
+are not told apart. Empty table: empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
