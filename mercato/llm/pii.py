@@ -6,12 +6,13 @@ discloses entity e by the share of e's information it carries: PMI(e; t) / IC(e)
 the whole corpus in units of one window: 1 means that t never occurs without e, 0 that it tells nothing.
 Evidence needs two different contexts of the same entity, so copies of one text prove nothing. A word at or
 above ``THRESHOLD`` is generalised to its first letters if that stem stays below the threshold for every
-such entity in its place, and removed otherwise.
+such entity of the document, and removed otherwise; this holds for all its places in the documents that hold the
+entity, near it or not.
 
 Words are counted per task before they are shuffled, and only words that met an entity twice leave a task:
 a bitmap of fixed size tells which. Joins on (entity, word) leave a hot entity to Spark's skew join.
 
-Nulls: a null text is empty; rows are told apart by doc_id and text, null ids included. Repeated rows get the
+Nulls: a null text is empty; rows are told apart by a 128-bit hash of doc_id and text, null ids included. Repeated rows get the
 same spans. Empty table: empty result. Spans are code points, end exclusive, never overlapping a pattern span.
 """
 
@@ -88,38 +89,46 @@ def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
 
-def contexts(text: str, spans: list[tuple[int, int, str, str]], window: int) -> list[dict]:
-    """The words around every entity: entity, context (hash of its words), word, start, end."""
-    if not spans:
-        return []
+def placed(text: str, spans: list[tuple[int, int]]) -> tuple[list[tuple[int, int]], np.ndarray, list[tuple[int, int]]]:
+    """Places of all words, marks of those that overlap a span, and per span the first word in it and the first after."""
     words = [m.span() for m in WORD.finditer(text)]
     starts = [s for s, _ in words]
     covered = np.zeros(len(words), dtype=bool)
     where = []
-    for start, end, _, _ in spans:
+    for start, end in spans:
         first, after = np.searchsorted(starts, [start, end])
         if first and words[first - 1][1] > start:
             first -= 1
         covered[first:after] = True
         where.append((int(first), int(after)))
+    return words, covered, where
+
+
+def contexts(text: str, spans: list[tuple[int, int, str, str]], window: int) -> list[dict]:
+    """The words around every entity: entity, context (hash of its words), word."""
+    if not spans:
+        return []
+    words, covered, where = placed(text, [s[:2] for s in spans])
     found = []
     for (first, after), (_, _, kind, value) in zip(where, spans, strict=True):
         near = [i for i in (*range(max(0, first - window), first), *range(after, min(len(words), after + window))) if not covered[i]]
         told = [text[slice(*words[i])].lower() for i in near]
         entity, context = _hash(f"{kind}:{value}"), _hash(" ".join(told))
-        found += [
-            {"entity": entity, "context": context, "word": w, "start": words[i][0], "end": words[i][1]}
-            for i, w in zip(near, told, strict=True)
-        ]
+        found += [{"entity": entity, "context": context, "word": w} for w in told]
     return found
 
 
+def _row() -> Column:
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    return F.md5(F.concat(key, F.lit(":"), F.coalesce("text", F.lit(""))).cast("binary"))
+
+
 def found_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """row, doc_id, base spans, entities and their contexts: one row per document."""
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", F.xxhash64("doc_id", text).alias("row"), text.alias("text"))
+    rows = docs.select("doc_id", _row().alias("row"), text.alias("text"))
     span = "array<struct<start:int,end:int,kind:string,entity:bigint>>"
-    context = "array<struct<entity:bigint,context:bigint,word:string,start:int,end:int>>"
+    context = "array<struct<entity:bigint,context:bigint,word:string>>"
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -131,7 +140,7 @@ def found_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     # nullable ids stay whole numbers: they pass as text
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("string"))
-    found = rows.mapInPandas(find, f"doc_id string, row bigint, words bigint, base {span}, near {context}")
+    found = rows.mapInPandas(find, f"doc_id string, row string, words bigint, base {span}, near {context}")
     return found.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 
@@ -190,14 +199,31 @@ def disclosures(docs: DataFrame, found: DataFrame, window: int = WINDOW, thresho
     return judged.select("entity", F.col("form").alias("word"), "share", action.alias("action"))
 
 
+def word_spans(docs: DataFrame, found: DataFrame, told: DataFrame) -> DataFrame:
+    """row, extra (start, end, kind): all places of the words that disclose an entity of their row."""
+    held = found.select("row", F.explode("base.entity").alias("entity")).distinct()
+    strictest = held.join(told, "entity").groupBy("row", "word").agg(F.max("action").alias("action"))
+    condemned = strictest.groupBy("row").agg(F.collect_list("word").alias("words"), F.collect_list("action").alias("actions"))
+    texts = docs.select(_row().alias("row"), F.coalesce("text", F.lit("")).alias("text")).join(condemned, "row").dropDuplicates(["row"])
+
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            extra = []
+            for text, words, actions in zip(batch["text"], batch["words"], batch["actions"], strict=True):
+                action = dict(zip(words, actions, strict=True))
+                where, covered, _ = placed(text, [s[:2] for s in base_spans(text)])
+                kinds = [action.get(text[a:b].lower()) for a, b in where]
+                extra.append([{"start": a, "end": b, "kind": k} for (a, b), k, c in zip(where, kinds, covered, strict=True) if k and not c])
+            yield pd.DataFrame({"row": batch["row"], "extra": extra})
+
+    return texts.mapInPandas(find, "row string, extra array<struct<start:int,end:int,kind:string>>")
+
+
 def spans(docs: DataFrame, window: int = WINDOW, threshold: float = THRESHOLD) -> DataFrame:
     """row, doc_id, base and spans (start, end, kind; kinds of words: ``generalise``, ``remove``)."""
     found = written(found_spans(docs, window), "pii-found")
-    told = disclosures(docs, found, window, threshold)
-    near = found.select("row", F.explode("near").alias("c")).select("row", "c.entity", "c.word", "c.start", "c.end")
-    hits = near.join(told, ["entity", "word"])
-    strictest = hits.groupBy("row", "start", "end").agg(F.max("action").alias("kind"))
-    extra = strictest.groupBy("row").agg(F.collect_list(F.struct("start", "end", "kind")).alias("extra"))
+    told = written(disclosures(docs, found, window, threshold), "pii-told")
+    extra = word_spans(docs, found, told)
     rank = lambda s: F.array_position(F.lit([*KINDS, "generalise", "remove"]), s["kind"])
     own = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
     both = F.concat(own, F.coalesce("extra", F.expr("array()").cast("array<struct<start:int,end:int,kind:string>>")))
@@ -213,7 +239,7 @@ def joined(spans_column: str) -> Column:
 def sanitised(docs: DataFrame, window: int = WINDOW, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with their spans and the text in which they are replaced: ``[EMAIL]``, a stem, ``[...]``."""
     told = spans(docs, window, threshold).select("row", F.col("spans").alias("pii_spans")).dropDuplicates(["row"])
-    keyed = docs.withColumn("__row", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
+    keyed = docs.withColumn("__row", _row())
 
     def replace(texts: pd.Series, found: pd.Series) -> pd.Series:
         out = []
