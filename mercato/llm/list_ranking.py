@@ -79,12 +79,16 @@ def ranked(links: DataFrame, names: list[str]) -> DataFrame:
         numbered = ordered.running(ranges, [], ["id"], "place", {})
         rest = numbered.withColumn("piece", F.floor((F.col("place") - 1) / PIECE)).drop("place")
     sums_of = lambda made: made.select("id", "head", *names)
-    known = sums_of(rounds.pop())
+    held = rounds.pop()
+    known = sums_of(held)
     while rounds:
-        lower, above = sums_of(rounds.pop()), known.select(F.col("id").alias("head"), *[F.col(n).alias(f"__{n}") for n in names])
-        below = lower.filter("id <> head").join(above, "head")
+        made = rounds.pop()
+        above = known.select(F.col("id").alias("head"), *[F.col(n).alias(f"__{n}") for n in names])
+        below = sums_of(made).filter("id <> head").join(above, "head")
         added = below.select("id", "head", *[(F.col(n) + F.col(f"__{n}")).alias(n) for n in names])
-        known = written(known.select("id", "head", *names).unionByName(added), "list-sums")
+        fresh = written(known.unionByName(added), "list-sums")
+        discard(*[table for table in (held, made) if hasattr(table, "written_to")])
+        known = held = fresh
     return known.drop("head")
 
 

@@ -10,7 +10,7 @@ import struct
 import numpy as np
 import xxhash
 
-from mercato.llm import language_id, queries, simhash
+from mercato.llm import language_id, queries
 
 SCHEMA = "doc_id long, text string, lang string"
 
