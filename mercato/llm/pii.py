@@ -124,7 +124,7 @@ def _row() -> Column:
 
 
 def found_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """row, doc_id, base spans, entities and their contexts: one row per document."""
+    """row, doc_id, base spans, entities and their contexts, and the text if there is an entity: one row per document."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", _row().alias("row"), text.alias("text"))
     span = "array<struct<start:int,end:int,kind:string,entity:bigint>>"
@@ -136,11 +136,12 @@ def found_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             base = [[{"start": a, "end": b, "kind": k, "entity": _hash(f"{k}:{v}")} for a, b, k, v in s] for s in spans]
             near = [contexts(t, s, window) for t, s in zip(batch["text"], spans, strict=True)]
             words = [t.count(" ") + t.count("\n") + 1 for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "row": batch["row"], "words": words, "base": base, "near": near})
+            held = [t if s else None for t, s in zip(batch["text"], spans, strict=True)]
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "row": batch["row"], "words": words, "base": base, "near": near, "held": held})
 
     # nullable ids stay whole numbers: they pass as text
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("string"))
-    found = rows.mapInPandas(find, f"doc_id string, row string, words bigint, base {span}, near {context}")
+    found = rows.mapInPandas(find, f"doc_id string, row string, words bigint, base {span}, near {context}, held string")
     return found.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 
@@ -199,12 +200,13 @@ def disclosures(docs: DataFrame, found: DataFrame, window: int = WINDOW, thresho
     return judged.select("entity", F.col("form").alias("word"), "share", action.alias("action"))
 
 
-def word_spans(docs: DataFrame, found: DataFrame, told: DataFrame) -> DataFrame:
+def word_spans(found: DataFrame, told: DataFrame) -> DataFrame:
     """row, extra (start, end, kind): all places of the words that disclose an entity of their row."""
     held = found.select("row", F.explode("base.entity").alias("entity")).distinct()
     strictest = held.join(told, "entity").groupBy("row", "word").agg(F.max("action").alias("action"))
     condemned = strictest.groupBy("row").agg(F.collect_list("word").alias("words"), F.collect_list("action").alias("actions"))
-    texts = docs.select(_row().alias("row"), F.coalesce("text", F.lit("")).alias("text")).join(condemned, "row").dropDuplicates(["row"])
+    # only texts that hold an entity travel
+    texts = found.filter("held IS NOT NULL").select("row", F.col("held").alias("text")).join(condemned, "row").dropDuplicates(["row"])
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -223,7 +225,7 @@ def spans(docs: DataFrame, window: int = WINDOW, threshold: float = THRESHOLD) -
     """row, doc_id, base and spans (start, end, kind; kinds of words: ``generalise``, ``remove``)."""
     found = written(found_spans(docs, window), "pii-found")
     told = written(disclosures(docs, found, window, threshold), "pii-told")
-    extra = word_spans(docs, found, told)
+    extra = word_spans(found, told)
     rank = lambda s: F.array_position(F.lit([*KINDS, "generalise", "remove"]), s["kind"])
     own = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
     both = F.concat(own, F.coalesce("extra", F.expr("array()").cast("array<struct<start:int,end:int,kind:string>>")))
