@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding by recursive DuckDB queries inside the partitions.
 
 A text is cut by the tokenizer's pattern; a piece that is a token as a whole is that token. The other
-pieces, each distinct one once per Python worker, become rows (piece, position, token). A recursive query finds
+pieces, each distinct one once per task, become rows (piece, position, token). A recursive query finds
 every piece's adjacent pair of least rank, the leftmost of equals, and contracts it, until no piece has a pair left.
 Decoding joins the ids with the vocabulary and gathers the bytes in order of position.
 
@@ -18,11 +18,10 @@ alike. Other columns are kept unless they have the name of a result column. Empt
 from __future__ import annotations
 
 import base64
-import hashlib
+import gc
 import heapq
 import re
 import sys
-import types
 import unicodedata
 from collections.abc import Callable, Iterator
 from itertools import chain
@@ -39,7 +38,7 @@ from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, Stru
 #: Rows of all steps of one recursive query, and ids that one query decodes.
 CHUNK_ROWS, CHUNK_TOKENS = 1_500_000, 500_000
 LONG = 256
-#: Pieces that a worker remembers before it starts afresh, and bytes of text it encodes at a time.
+#: Pieces that a task remembers before it starts afresh, and bytes of text it encodes at a time.
 REMEMBERED, TEXT_BYTES = 450_000, 2_000_000
 ROWS = 500  # texts of one step
 MEMORY = "400MB"
@@ -102,7 +101,6 @@ class Tokenizer(NamedTuple):
     patterns: tuple[np.ndarray, str, str]
     pairs: np.ndarray
     merged: np.ndarray
-    key: str
 
 
 def tokenizer(path: str) -> Tokenizer:
@@ -118,7 +116,7 @@ def tokenizer(path: str) -> Tokenizer:
         if (left := ranks.get(token[:at])) is not None and (right := ranks.get(token[at:])) is not None
     }
     numbers = np.array(list(pairs), dtype=np.int64), np.array(list(pairs.values()), dtype=np.int32)
-    return Tokenizer(ranks, piece_patterns(), *numbers, hashlib.sha256(content).hexdigest())
+    return Tokenizer(ranks, piece_patterns(), *numbers)
 
 
 def contracted(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -153,7 +151,7 @@ def contracted(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Codec:
-    """One worker's DuckDB database with the merge table, and the pieces it has encoded."""
+    """One task's DuckDB database with the merge table, and the pieces it has encoded."""
 
     def __init__(self, source: Tokenizer):
         ranks = self.ranks = source.ranks
@@ -284,27 +282,22 @@ class Codec:
         return pa.BinaryArray.from_buffers(pa.binary(), len(ids), [None, offsets.buffers()[1], pa.py_buffer(b"".join(data))])
 
 
-def codec_of(shared: tuple) -> Codec:
-    """One ``Codec`` per Python worker: a reused worker knows the pieces of its earlier tasks. Functions come by value,
-    so what stays with the worker hangs on a module made there."""
-    source = Tokenizer(*shared)
-    held = sys.modules.setdefault("_bpe_codec", types.ModuleType("_bpe_codec"))
-    if getattr(held, "key", None) != source.key:
-        held.key, held.codec = source.key, Codec(source)
-    return held.codec
-
-
 def _mapped(df: DataFrame, tokens: Tokenizer, target: str, kind: DataType, rows: int, run: Run) -> DataFrame:
     """``df`` with the column ``target``, made by ``run(codec, batch)`` for ``rows`` rows at a time."""
     plain = df.select([F.col(f"`{c}`") for c in df.columns if c != target])
     shared = df.sparkSession.sparkContext.broadcast(tuple(tokens))  # the tokenizer's own size
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_of(shared.value)
+        codec = Codec(Tokenizer(*shared.value))
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
                 yield pa.RecordBatch.from_arrays([*part.columns, run(codec, part)], names=[*part.schema.names, target])
+        # a worker that waits for its next task keeps nothing of this one
+        codec.db.close()
+        del codec
+        gc.collect()
+        pa.default_memory_pool().release_unused()
 
     return plain.mapInArrow(convert, StructType([*plain.schema.fields, StructField(target, kind)]))
 
