@@ -82,3 +82,19 @@ def test_prepared_vectors(study):
     totals = {r["feature"]: r["total"] for r in model_checks.vector_slots(study).collect()}
     for column in CATEGORICAL:
         assert sum(v for k, v in totals.items() if k.startswith(f"{column}_")) == flags[column]["one_flag"]
+
+
+def test_checks_of_the_inputs_fit_no_model(star):
+    class Unfitted(LowReviewStudy):
+        @property
+        def forest(self):
+            raise AssertionError("a forest for its inputs")
+
+        @property
+        def logistic(self):
+            raise AssertionError("a regression for its inputs")
+
+    study = Unfitted(star)
+    assert {r["feature"] for r in model_checks.category_flags(study).collect()} == set(CATEGORICAL)
+    assert model_checks.vector_slots(study).count() > len(NUMERIC)
+    assert {r["feature"] for r in model_checks.scaled_numbers(study).collect()} == set(NUMERIC)
