@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import functions as F
 
 from mercato.functions.cycles import donors
@@ -98,3 +99,14 @@ def test_checks_of_the_inputs_fit_no_model(star):
     assert {r["feature"] for r in model_checks.category_flags(study).collect()} == set(CATEGORICAL)
     assert model_checks.vector_slots(study).count() > len(NUMERIC)
     assert {r["feature"] for r in model_checks.scaled_numbers(study).collect()} == set(NUMERIC)
+
+
+def test_forest_keeps_the_nodes_of_its_rows_and_stays_the_same(study):
+    forest = study.forest.stages[-1]
+    assert forest.getCacheNodeIds()
+    rows = study.assembly.transform(study._weighted(study.train))
+    walked = RandomForestClassifier(
+        featuresCol="features", labelCol="is_low_review", weightCol="weight", numTrees=7, maxDepth=5, minInstancesPerNode=5,
+        featureSubsetStrategy="sqrt", seed=study.seed, cacheNodeIds=False,
+    ).fit(rows)
+    assert forest.toDebugString.splitlines()[1:] == walked.toDebugString.splitlines()[1:]
