@@ -346,7 +346,7 @@ class LowReviewStudy:
 
         In every (column, repeat) job each row takes the value of the next row of one random cycle through
         all test rows; only id, job and that one value travel, and the other columns are joined when the
-        rows are scored. All jobs are scored in one pass.
+        rows are scored. All jobs are scored in one pass, whose scores are written: the areas look at them several times.
         """
         columns = NUMERIC + CATEGORICAL
         given = donors(self.shuffle_jobs(repeats), "job", "order_id", ["number", "text"], self.seed + 1)
@@ -358,6 +358,7 @@ class LowReviewStudy:
         scored = self.forest.transform(shuffled).select(
             "feature", "job", F.col("is_low_review").alias("label"), vector_to_array("probability")[1].alias("score")
         )
+        scored = written(scored, "permuted_scores")
         base = scoring.areas(self.forest_scores.select("label", "score")).select("pr_auc")
         drops = scoring.areas(scored, ["feature", "job"]).withColumn("drop", base.scalar() - F.col("pr_auc"))
         return (
