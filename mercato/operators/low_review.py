@@ -18,7 +18,7 @@ from mercato.functions.numbers import mean, mean_days, per
 from mercato.functions.order_stats import positioned, quantiles
 from mercato.functions.profile import box_summary, describe, melted, missing_counts, with_share
 from mercato.market import Market
-from mercato.session import written
+from mercato.session import discard, written
 
 SEED = 42
 TEST_SHARE = 0.2
@@ -137,8 +137,14 @@ class LowReviewStudy:
 
     @cached_property
     def frame(self) -> DataFrame:
-        """Model frame with its split, written once because every fit passes over it many times."""
-        return written(with_split(model_frame(self.market), seed=self.seed), "model_frame")
+        """Model frame with its split, written once because every fit passes over it many times.
+
+        The cuts are found on the written frame, so the order facts are made once.
+        """
+        whole = written(model_frame(self.market), "model_frame")
+        split = written(with_split(whole, seed=self.seed), "split_frame")
+        discard(whole)
+        return split
 
     @cached_property
     def train(self) -> DataFrame:

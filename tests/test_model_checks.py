@@ -7,7 +7,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import functions as F
 
 from mercato.functions.cycles import donors
-from mercato.operators import model_checks
+from mercato.operators import low_review, model_checks
 from mercato.operators.low_review import CATEGORICAL, NUMERIC, LowReviewStudy
 
 
@@ -110,3 +110,22 @@ def test_forest_keeps_the_nodes_of_its_rows_and_stays_the_same(study):
         featureSubsetStrategy="sqrt", seed=study.seed, cacheNodeIds=False,
     ).fit(rows)
     assert forest.toDebugString.splitlines()[1:] == walked.toDebugString.splitlines()[1:]
+
+
+def test_split_and_areas_look_at_written_tables(star, monkeypatch):
+    looked_at, split, areas = [], low_review.with_split, low_review.scoring.areas
+
+    def seen_split(frame, **kwargs):
+        looked_at.append(hasattr(frame, "written_to"))
+        return split(frame, **kwargs)
+
+    def seen_areas(scores, by=(), *rest):
+        if by:
+            looked_at.append(hasattr(scores, "written_to"))
+        return areas(scores, by, *rest)
+
+    monkeypatch.setattr(low_review, "with_split", seen_split)
+    monkeypatch.setattr(low_review.scoring, "areas", seen_areas)
+    study = LowReviewStudy(star, trees=2, depth=2, leaf=5)
+    assert study.permutation_importance(1).count() == len(NUMERIC + CATEGORICAL)
+    assert looked_at == [True, True]
