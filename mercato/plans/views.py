@@ -126,10 +126,13 @@ def orders_enriched(m: Market) -> DataFrame:
 
 
 def order_items_enriched(m: Market) -> DataFrame:
-    """Items with product attributes and seller geography."""
+    """Items with product attributes and seller geography.
+
+    Sellers are located before items meet them, so items travel by seller, never by the few ZIP prefixes.
+    """
     items = m.raw("order_items").withColumn("item_total_value", F.col("price") + F.col("freight_value"))
-    full = items.join(m.products, "product_id").join(m.raw("sellers"), "seller_id")
-    return _located(full, m.geolocation, "seller").select(
+    sellers = _located(m.raw("sellers"), m.geolocation, "seller")
+    return items.join(m.products, "product_id").join(sellers, "seller_id").select(
         "order_id",
         "order_item_id",
         "product_id",

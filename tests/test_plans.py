@@ -102,3 +102,13 @@ def test_bounded_frames_need_few_shuffles(star):
     assert shuffles(statistics.category_review_summary(star)) <= 8
     assert shuffles(statistics.category_kruskal(star)) <= 14
     assert shuffles(statistics.delay_review_summary(star)) <= 4
+
+
+def test_items_meet_sellers_that_are_already_located(star):
+    """A join by the few ZIP prefixes holds no items: they would gather in as many tasks."""
+    lines = star.order_items_enriched._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = [len(re.match(r"[ :+-]*", line).group()) for line in lines]
+    at = next(i for i, line in enumerate(lines) if "Join LeftOuter" in line and "seller_zip_code_prefix" in line)
+    below = [i for i in range(at + 1, len(lines)) if depth[i] <= depth[at]]
+    under = "\n".join(lines[at : below[0] if below else len(lines)])
+    assert "s_suppkey" in under and "l_orderkey" not in under
