@@ -259,12 +259,12 @@ def category_performance(m: Market, size: int | None = None) -> DataFrame:
     """Item-weighted category totals of completed orders, optionally only the largest ones."""
     completed = m.raw("orders").where("order_status = 'delivered'").select("order_id")
     sold = m.rows("order_items").join(completed, "order_id", "left_semi")
-    lines = sold.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("items"), F.sum("price").alias("price"))
     category = m.products.select("product_id", "product_category_name_english")
+    # one sum, by category, holds a task's groups once
     baskets = (
-        lines.join(category, "product_id")
+        sold.join(category, "product_id")
         .groupBy("order_id", "product_category_name_english")
-        .agg(F.sum("items").alias("items"), F.sum("price").alias("price"))
+        .agg(F.count(F.lit(1)).alias("items"), F.sum("price").alias("price"))
     )
     table = (
         baskets.groupBy("product_category_name_english")

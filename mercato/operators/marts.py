@@ -91,16 +91,14 @@ def delivery_metrics(m: Market) -> DataFrame:
 def category_metrics(m: Market) -> DataFrame:
     """Category totals; the averages weigh every (order, category) pair alike."""
     price, freight = F.col("price"), F.col("freight_value")
-    # items of other orders go before anything is summed
+    # items of other orders go before anything is summed; one sum, by category, holds a task's groups once
     completed = m.raw("orders").where("order_status = 'delivered'").select("order_id")
-    lines = m.rows("order_items").join(completed, "order_id", "left_semi").groupBy("order_id", "product_id").agg(
-        F.count(F.lit(1)).alias("items"), F.sum(price).alias("price"), F.sum(freight).alias("freight")
-    )
+    sold = m.rows("order_items").join(completed, "order_id", "left_semi")
     category = m.products.select("product_id", F.col("product_category_name_english").alias("product_category"))
     baskets = (
-        lines.join(category, "product_id")
+        sold.join(category, "product_id")
         .groupBy("order_id", "product_category")
-        .agg(F.sum("items").alias("items"), F.sum("price").alias("price"), F.sum("freight").alias("freight"))
+        .agg(F.count(F.lit(1)).alias("items"), F.sum(price).alias("price"), F.sum(freight).alias("freight"))
     )
     scores = m.delivered.select("order_id", "average_review_score")
     exact = "decimal(24,9)"

@@ -112,3 +112,11 @@ def test_items_meet_sellers_that_are_already_located(star):
     below = [i for i in range(at + 1, len(lines)) if depth[i] <= depth[at]]
     under = "\n".join(lines[at : below[0] if below else len(lines)])
     assert "s_suppkey" in under and "l_orderkey" not in under
+
+
+@pytest.mark.parametrize("query", [marts.category_metrics, eda.category_performance], ids=["m4", "e15"])
+def test_baskets_are_summed_once(star, query):
+    """Groups by order and product beside those by order and category would double what a task holds."""
+    text = query(star)._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"Aggregate \[order_id#\d+L?, product_id", text)
+    assert re.search(r"Aggregate \[order_id#\d+L?, product_category", text)
