@@ -44,3 +44,15 @@ def test_replaced_input_is_seen(spark, tmp_path):
     spark.range(4).write.parquet(f"{tmp_path}/b.parquet")
     assert folder_state(spark, str(tmp_path)) != before
     assert registry.market_of(spark, str(tmp_path)) is not first
+
+
+def test_a_reading_task_holds_little_whatever_the_session_says(spark):
+    from mercato.session import SPLIT, SPLIT_BYTES, configure
+
+    before = spark.conf.get(SPLIT)
+    try:
+        for given, wanted in (("128m", f"{SPLIT_BYTES}b"), ("1g", f"{SPLIT_BYTES}b"), ("134217728", f"{SPLIT_BYTES}b"), ("16MB", "16MB"), ("64k", "64k")):
+            spark.conf.set(SPLIT, given)
+            assert configure(spark).conf.get(SPLIT) == wanted
+    finally:
+        spark.conf.set(SPLIT, before)
