@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import TYPE_CHECKING
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions.numbers import days_between, hours_between, month_of, per, rounded
@@ -150,20 +150,29 @@ def order_items_enriched(m: Market) -> DataFrame:
     )
 
 
-def item_totals(items: DataFrame) -> DataFrame:
-    """Item sums and distinct products and sellers per order, in one pass over the items.
+def item_totals(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Item sums and distinct products and sellers per order of ``orders``, in one pass over the items.
 
-    Spark expands a row once per distinct count, with nothing but order and value, and groups by both first, so a huge
-    order is spread; the sums are formed on the map side. A count that nobody reads is dropped from the plan.
+    Items travel once, to their order: an order has few, so sums on the map side save nothing and only fill memory. The
+    distinct counts need no further shuffle there: they count the first item of each product and seller. The join with the
+    orders is what spreads a huge order: its partition is split as skewed, and the steps behind it are dealt out by
+    order and product or seller. A count that nobody reads is dropped from the plan.
     """
     price, freight = F.col("price"), F.col("freight_value")
-    return items.groupBy("order_id").agg(
+    placed = items.join(orders.select("order_id").hint("merge"), "order_id", "left_semi")
+
+    def first_of(name: str) -> Column:
+        number = F.row_number().over(Window.partitionBy("order_id", name).orderBy(name))
+        return (F.col(name).isNotNull() & (number == 1)).cast("int")
+
+    marked = placed.withColumn("_product", first_of("product_id")).withColumn("_seller", first_of("seller_id"))
+    return marked.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("items_count"),
         F.sum(price).alias("products_value"),
         F.sum(freight).alias("freight_value"),
         F.sum(price + freight).alias("order_items_value"),
-        F.count_distinct("product_id").alias("unique_products_count"),
-        F.count_distinct("seller_id").alias("sellers_count"),
+        F.sum("_product").alias("unique_products_count"),
+        F.sum("_seller").alias("sellers_count"),
     )
 
 
@@ -193,7 +202,7 @@ def order_metrics(m: Market) -> DataFrame:
     """
     facts = (
         m.orders_core
-        .join(item_totals(m.rows("order_items")), "order_id", "left")
+        .join(item_totals(m.rows("order_items"), m.raw("orders")), "order_id", "left")
         .join(payment_totals(m.rows("payments")), "order_id", "left")
         .join(review_totals(m.raw("reviews")), "order_id", "left")
     )

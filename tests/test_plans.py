@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from mercato.market import Market
 from mercato.operators import cohort, eda, marts, product
+from mercato.plans import views
 from mercato.schema import RAW_TABLES
 
 
@@ -120,3 +121,40 @@ def test_baskets_are_summed_once(star, query):
     text = query(star)._jdf.queryExecution().optimizedPlan().toString()
     assert not re.search(r"Aggregate \[order_id#\d+L?, product_id", text)
     assert re.search(r"Aggregate \[order_id#\d+L?, product_category", text)
+
+
+def test_items_travel_once_to_their_order(star):
+    text = plan(star.order_metrics)
+    assert "Expand" not in text  # one row of an item stays one row
+    items = [line for line in plan(views.item_totals(star.rows("order_items"), star.raw("orders"))).splitlines() if "Exchange hash" in line]
+    assert len(items) == 2  # the items and the ids of the orders
+
+
+def test_a_huge_order_is_dealt_out(spark):
+    settings = {
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        huge = "CASE WHEN id % 10 = 0 THEN id % 500 ELSE 7 END AS order_id"
+        items = spark.range(0, 60_000, 1, 8).selectExpr(
+            huge, "nullif(id * 7919 % 5003, 11) AS product_id", "id * 31 % 97 AS seller_id",
+            "CAST(id % 100 AS DECIMAL(10,2)) AS price", "CAST(id % 7 AS DECIMAL(10,2)) AS freight_value",
+        )
+        made = views.item_totals(items, spark.range(600).selectExpr("id AS order_id"))
+        got = {r.order_id: tuple(r)[1:] for r in made.collect()}
+        assert "skew=true" in made._jdf.queryExecution().executedPlan().toString()
+        wanted = items.groupBy("order_id").agg(
+            F.count("*"), F.sum("price"), F.sum("freight_value"), F.sum(F.col("price") + F.col("freight_value")),
+            F.count_distinct("product_id"), F.count_distinct("seller_id"),
+        )
+        assert got == {r.order_id: tuple(r)[1:] for r in wanted.collect()}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
