@@ -91,8 +91,13 @@ def read_split(spark: SparkSession, path: str, spec: TableSpec, table: str) -> D
 DATE_TIME = r"^\s*\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?\s*$"
 
 
+#: Of these characters every text consists that the pattern of a blank one matches.
+BLANK = " \t\n\x0b\f\r\x85\u2028\u2029"
+
+
 def _present(column: Column) -> Column:
-    return F.when(~column.isin(MISSING_TOKENS) & ~column.rlike(r"^\s*$"), column)
+    blank = (F.ltrim(column, F.lit(BLANK)) == "") & column.rlike(r"^\s*$")  # few values come as far as the pattern
+    return F.when(~column.isin(MISSING_TOKENS) & ~blank, column)
 
 
 def _parsed(column: Column, target: T.DataType) -> Column:
@@ -110,16 +115,24 @@ def _parsed(column: Column, target: T.DataType) -> Column:
 
 
 def typed(df: DataFrame, spec: TableSpec, table: str, types: Mapping[str, T.DataType] | None = None) -> DataFrame:
-    """Cast text columns; a present value that does not parse stops the load with its content."""
-    columns = []
-    for name, target, _ in spec.columns:
-        target = (types or {}).get(name, target)
-        raw = _present(F.col(name))
-        value = _parsed(raw, target)
+    """Cast text columns; a present value that does not parse stops the load with its content.
+
+    Three steps, each of which looks several times at what the one before has made once.
+    """
+    kinds = {name: (types or {}).get(name, target) for name, target, _ in spec.columns}
+    given = df.select(*[_present(F.col(name)).alias(name) for name in kinds])
+    cast = [name for name, target in kinds.items() if not isinstance(target, T.StringType)]
+    parsed = given.select("*", *[_parsed(F.col(name), kinds[name]).alias(f"__{name}") for name in cast])
+
+    def checked(name: str) -> Column:
+        if name not in cast:
+            return F.col(name)
+        raw, value = F.col(name), F.col(f"__{name}")
         message = F.concat(F.lit(f"bad value in {table}.{name}: "), raw)
-        checked = F.when(raw.isNotNull() & value.isNull(), F.raise_error(message).cast(target)).otherwise(value)
-        columns.append(checked.alias(name))
-    return df.select(*columns)
+        wrong = F.raise_error(message).cast(kinds[name])
+        return F.when(raw.isNotNull() & value.isNull(), wrong).otherwise(value).alias(name)
+
+    return parsed.select(*[checked(name) for name in kinds])
 
 
 def _problems(spec: TableSpec, types: Mapping[str, T.DataType] | None = None) -> Column:

@@ -6,6 +6,7 @@ import datetime as dt
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from mercato.market import Market
 from mercato.schema import RAW_TABLES
@@ -185,3 +186,17 @@ def test_bad_values_go_to_quarantine_in_one_pass(spark, tmp_path):
     assert found == {("payment_sequential", "x", f"{kind}int"), ("payment_installments", "2.5", f"{kind}int"), ("payment_value", "9.999", f"{kind}decimal(12,2)")}
     assert all('"order_id":"o3"' in r["row"] for r in bad.collect())
     assert (tmp_path / "out" / "quarantined=true").exists() and (tmp_path / "out" / "quarantined=false").exists()
+
+
+def test_a_value_is_parsed_once(spark, tmp_path):
+    spec = RAW_TABLES["payments"]
+    strings = spark.createDataFrame([tuple("1" for _ in spec.names)], [f"{n}" for n in spec.names])
+    text = csv_ingest.typed(strings, spec, "payments")._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("RLIKE") == len(spec.names)
+
+
+def test_blank_values_are_those_of_the_pattern(spark):
+    values = ["", " ", "\t\n\x0b\f\r ", "\x85", "  ", "\x85\x85", "\xa0", " a ", "\x1c", "x\n", "\r\n\x85", " \n"]
+    rows = spark.createDataFrame([(v,) for v in values], "v string")
+    plain = F.when(~F.col("v").isin(csv_ingest.MISSING_TOKENS) & ~F.col("v").rlike(r"^\s*$"), F.col("v"))
+    assert rows.where(~csv_ingest._present(F.col("v")).eqNullSafe(plain)).count() == 0
