@@ -18,7 +18,6 @@ alike. Other columns are kept unless they have the name of a result column. Empt
 from __future__ import annotations
 
 import base64
-import gc
 import heapq
 import re
 import sys
@@ -35,11 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, StructField, StructType
 
+from mercato.llm.tables import tidy
+
 #: Rows of all steps of one recursive query, and ids that one query decodes.
-CHUNK_ROWS, CHUNK_TOKENS = 1_500_000, 500_000
+CHUNK_ROWS, CHUNK_TOKENS = 500_000, 500_000
 LONG = 256
 #: Pieces that a task remembers before it starts afresh, and bytes of text it encodes at a time.
-REMEMBERED, TEXT_BYTES = 450_000, 2_000_000
+REMEMBERED, TEXT_BYTES = 450_000, 1_000_000
 ROWS = 500  # texts of one step
 MEMORY = "400MB"
 Run = Callable[["Codec", pa.RecordBatch], pa.Array]
@@ -293,13 +294,9 @@ def _mapped(df: DataFrame, tokens: Tokenizer, target: str, kind: DataType, rows:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
                 yield pa.RecordBatch.from_arrays([*part.columns, run(codec, part)], names=[*part.schema.names, target])
-        # a worker that waits for its next task keeps nothing of this one
         codec.db.close()
-        del codec
-        gc.collect()
-        pa.default_memory_pool().release_unused()
 
-    return plain.mapInArrow(convert, StructType([*plain.schema.fields, StructField(target, kind)]))
+    return plain.mapInArrow(tidy(convert), StructType([*plain.schema.fields, StructField(target, kind)]))
 
 
 def encoded(docs: DataFrame, tokens: Tokenizer, text: str = "text") -> DataFrame:

@@ -40,6 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.llm.components import components
+from mercato.llm.tables import tidy
 from mercato.llm.words import WordHashes, shingles
 from mercato.session import discard, written
 
@@ -91,7 +92,7 @@ def sketches(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = "doc_id bigint, n_shingles bigint, digest binary, prefix array<bigint>"
-    return written(plain.mapInArrow(sketch, schema), "jaccard-sketches")
+    return written(plain.mapInArrow(tidy(sketch), schema), "jaccard-sketches")
 
 
 def candidate_groups(shown: DataFrame) -> DataFrame:
@@ -242,7 +243,7 @@ def links(docs: DataFrame, shown: DataFrame, classes: DataFrame, block: int = BL
             yield pa.RecordBatch.from_arrays(columns, names=["class", "copies", "shingles", "places"])
 
     place = "array<struct<task:string,side:int>>"
-    dealt = rows.mapInArrow(sets, f"class bigint, copies bigint, shingles binary, places {place}")
+    dealt = rows.mapInArrow(tidy(sets), f"class bigint, copies bigint, shingles binary, places {place}")
     dealt = dealt.select("class", "copies", "shingles", F.explode("places").alias("p"))
     dealt = dealt.select("class", "copies", "shingles", "p.task", "p.side")
 

@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
+from mercato.llm.tables import tidy
+
 UNKNOWN = "und"
 #: Labelled rows that train the model, by hash of doc_id.
 TRAIN_ROWS = 20_000
@@ -141,7 +143,7 @@ def train(labelled: DataFrame, rows: int = TRAIN_ROWS) -> dict:
                     at = np.flatnonzero(counts)
                     yield pd.DataFrame({"lang": lang, "kind": kind, "at": at, "n": counts[at].astype(np.int64)})
 
-    counted = usable.filter(drawn).select("lang", "text").mapInPandas(count, "lang string, kind string, at long, n long")
+    counted = usable.filter(drawn).select("lang", "text").mapInPandas(tidy(count), "lang string, kind string, at long, n long")
     # at most SLOTS + scripts rows per language
     table = counted.groupBy("lang", "kind", "at").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(table["lang"].unique())
@@ -282,4 +284,4 @@ def identified(docs: DataFrame, model: dict, switch: float = SWITCH) -> DataFram
             more = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(spans, kind)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, *result])
 
-    return plain.mapInArrow(label, schema)
+    return plain.mapInArrow(tidy(label), schema)
