@@ -12,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.functions import scoring
+from mercato.functions import forests, scoring
 from mercato.functions.cycles import donors
 from mercato.functions.numbers import mean, mean_days, per
 from mercato.functions.order_stats import positioned, quantiles
@@ -36,6 +36,7 @@ UPPER_PERCENTILES = (0.5, 0.75, 0.9, 0.95, 0.99)
 # Class names, model names and outcome names.
 CLASS_NAMES = ("Score 3–5", "Score 1–2")
 PRIOR, LOGISTIC, FOREST = "Dummy Classifier", "Logistic Regression", "Random Forest"
+TASK_ORDERS = 4096  # whose permuted scores are one task's work
 OUTCOMES = {(0, 0): "True Negative", (0, 1): "False Positive", (1, 0): "False Negative", (1, 1): "True Positive"}
 
 
@@ -283,10 +284,22 @@ class LowReviewStudy:
             share.scalar().alias("score"),
         ).withColumn("predicted", (F.col("score") > 0.5).cast("int"))
 
+    @cached_property
+    def flat_forest(self) -> forests.FlatForest:
+        """The forest's nodes; trees and depth bound them."""
+        return forests.FlatForest(forests.node_table(self.market.spark, self.forest.stages[-1]).toArrow().to_pandas())
+
+    def _forest_inputs(self) -> DataFrame:
+        """order_id, label and x, the forest's inputs, of the test orders."""
+        rows = PipelineModel(self.forest.stages[:-1]).transform(self.prepared(self.test))
+        return rows.select("order_id", F.col("is_low_review").alias("label"), vector_to_array("features").alias("x"))
+
     @cached_property
     def forest_scores(self) -> DataFrame:
-        """Test probabilities of the forest, written once for curves, thresholds and error groups."""
-        return written(self._scored(self.forest, FOREST), "forest_scores")
+        """Test probabilities of the forest, written once for curves, thresholds and error groups. Rows walk down flat nodes;
+        ``model_checks.forest_walk`` compares with the model's own probabilities."""
+        scored = forests.scored(self._forest_inputs(), self.flat_forest, "x", "score")
+        return written(scored.select(F.lit(FOREST).alias("model"), "*", (F.col("score") > 0.5).cast("int").alias("predicted")), "forest_scores")
 
     @cached_property
     def logistic_scores(self) -> DataFrame:
@@ -347,24 +360,30 @@ class LowReviewStudy:
         turns = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))
         return each.withColumn("turn", turns).select((F.col("feature") * repeats + F.col("turn")).alias("job"), "order_id", "value.*")
 
+    def _exchange(self) -> forests.Exchange:
+        """Columns by their place in NUMERIC + CATEGORICAL, with their slots in the forest's inputs."""
+        size, labels = len(NUMERIC), {}
+        for place, known in enumerate(self.forest.stages[0].labelsArray, len(NUMERIC)):
+            labels[place] = (size, list(known))
+            size += len(known)
+        return forests.Exchange(self.flat_forest, size, {i: i for i in range(len(NUMERIC))}, labels)
+
     def permutation_importance(self, repeats: int = 10) -> DataFrame:
         """Loss of average precision when one raw column is shuffled, mean and deviation.
 
         In every (column, repeat) job each row takes the value of the next row of one random cycle through
-        all test rows; only id, job and that one value travel, and the other columns are joined when the
-        rows are scored. All jobs are scored in one pass, whose scores are written: the areas look at them several times.
+        all test rows; only id, job and that one value travel. The values that an order is given meet its own once, so
+        equal ones and trees that cannot tell them apart are not walked again. The scores are written: the areas look at
+        them several times.
         """
         columns = NUMERIC + CATEGORICAL
         given = donors(self.shuffle_jobs(repeats), "job", "order_id", ["number", "text"], self.seed + 1)
+        tasks = -(-self.test.count() // TASK_ORDERS) or 1
+        values = given.repartition(tasks, "order_id").groupBy("order_id").agg(F.collect_list(F.struct("job", "number", "text")).alias("given"))
+        rows = self._forest_inputs().repartition(tasks, "order_id").join(values, "order_id")
         names = F.array(*[F.lit(c) for c in columns])
-        given = given.drop("donor").withColumn("feature", F.get(names, F.floor(F.col("job") / repeats).cast("int")))
-        each = self.prepared(self.test).join(given, "order_id")
-        own = {c: F.col("number") if c in NUMERIC else F.col("text") for c in columns}
-        shuffled = each.withColumns({c: F.when(F.col("feature") == c, own[c]).otherwise(F.col(c)) for c in columns})
-        scored = self.forest.transform(shuffled).select(
-            "feature", "job", F.col("is_low_review").alias("label"), vector_to_array("probability")[1].alias("score")
-        )
-        scored = written(scored, "permuted_scores")
+        scored = forests.exchanged(rows, self._exchange(), repeats)
+        scored = written(scored.withColumn("feature", F.get(names, F.floor(F.col("job") / repeats).cast("int"))), "permuted_scores")
         base = scoring.areas(self.forest_scores.select("label", "score")).select("pr_auc")
         drops = scoring.areas(scored, ["feature", "job"]).withColumn("drop", base.scalar() - F.col("pr_auc"))
         return (
