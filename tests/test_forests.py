@@ -9,6 +9,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 
 from mercato.functions import forests
+from mercato.operators import model_checks
 from mercato.operators.low_review import CATEGORICAL, NUMERIC, LowReviewStudy
 
 LABELS = [f"s{i}" for i in range(70)]  # more than a word of codes
@@ -110,3 +111,8 @@ def test_permuted_scores_come_from_one_walk_per_order(study, monkeypatch):
     rows = study.permutation_importance(2).collect()
     assert {r["feature"] for r in rows} == set(NUMERIC + CATEGORICAL)
     assert all(r["importance_std"] >= 0 for r in rows)
+
+
+def test_walk_check_takes_no_table_of_rows_and_trees(study):
+    plan = model_checks.forest_walk(study)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" not in plan
